@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vertexloom.graph import Graph
 from vertexloom.operators.construct import with_property
-from vertexloom.operators.propagation import RECEIVERS_PER_HUB, laid_out
+from vertexloom.operators.propagation import EDGES_PER_HUB, laid_out
 from vertexloom.operators.select import top_vertices
 from vertexloom.runtime import checkpoint, drop_checkpoint
 
@@ -32,7 +32,7 @@ def pagerank(
     max_iter: int = 20,
     tol: float | None = None,
     total_mass: float = 1.0,
-    receivers_per_hub: int = RECEIVERS_PER_HUB,
+    edges_per_hub: int = EDGES_PER_HUB,
 ) -> PageRankResult:
     """Rank the vertices and store the rank as a vertex property.
 
@@ -43,7 +43,7 @@ def pagerank(
     """
     started = time.monotonic()
     share = F.col("copies") / F.col("out_degree")
-    with laid_out(graph, share, receivers_per_hub=receivers_per_hub) as layout:
+    with laid_out(graph, share, edges_per_hub=edges_per_hub) as layout:
         n = max(layout.num_vertices, 1)
         sink_mass = layout.num_sinks / n
         state = layout.vertices.select(

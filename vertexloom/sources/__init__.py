@@ -1,4 +1,4 @@
-from vertexloom.sources.csv_edges import read_edges_csv, read_edges_dir
+from vertexloom.sources.csv_edges import read_edges_csv, read_edges_dir, read_rows_dir
 from vertexloom.sources.csv_vertices import ExportResult, file_size, write_vertices_csv, write_vertices_dir
 from vertexloom.sources.graphson import read_graphson, write_graphson
 from vertexloom.sources.schema_file import infer_schema, read_schema, write_schema
@@ -22,6 +22,7 @@ __all__ = [
     "read_edges_dir",
     "read_graph",
     "read_graphson",
+    "read_rows_dir",
     "read_schema",
     "save_graph",
     "write_graph",
