@@ -49,29 +49,25 @@ def pagerank(
         state = layout.vertices.select(
             "id", F.lit(1.0 / n).alias("rank"), (F.col("out_degree") == 0).alias("is_sink"), "is_hub"
         )
+        inflow = F.sum(F.col("rank") * F.col("weight")).alias("received")
+        measures = [
+            F.coalesce(F.sum(F.when(F.col("is_sink"), F.col("rank"))), F.lit(0.0)).alias("sink_mass"),
+            F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before"))), F.lit(0.0)).alias("change"),
+        ]
         iterations = 0
         while iterations < max_iter:
-            received = (
-                layout.send(state, "rank")
-                .groupBy("dst")
-                .agg(F.sum(F.col("rank") * F.col("weight")).alias("received"))
-            )
+            received = layout.send(state, "rank").groupBy("dst").agg(inflow)
             base = (1.0 - alpha + alpha * sink_mass) / n
-            moved = state.join(received, state.id == received.dst, "left").select(
+            moved = state.join(received, state.id == received.dst, "left").selectExpr(
                 "id",
-                (F.lit(base) + F.lit(alpha) * F.coalesce("received", F.lit(0.0))).alias("rank"),
-                F.col("rank").alias("before"),
+                f"{base!r}D + {alpha!r}D * coalesce(received, 0D) AS rank",
+                "rank AS before",
                 "is_sink",
                 "is_hub",
             )
             # the job that writes the state also measures it
             seen = Observation()
-            moved = moved.observe(
-                seen,
-                F.coalesce(F.sum(F.when(F.col("is_sink"), F.col("rank"))), F.lit(0.0)).alias("sink_mass"),
-                F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before"))), F.lit(0.0)).alias("change"),
-            )
-            latest = checkpoint(moved.drop("before"))
+            latest = checkpoint(moved.observe(seen, *measures).drop("before"))
             if iterations:
                 drop_checkpoint(state)
             state = latest

@@ -8,6 +8,7 @@ from vertexloom.sources.store import (
     load_graph,
     read_graph,
     save_graph,
+    settle,
     write_graph,
 )
 
@@ -25,6 +26,7 @@ __all__ = [
     "read_rows_dir",
     "read_schema",
     "save_graph",
+    "settle",
     "write_graph",
     "write_graphson",
     "write_schema",
