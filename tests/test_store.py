@@ -1,0 +1,95 @@
+"""Graphs as Parquet."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from vertexloom.operators import clear_edges, split_graph, with_property
+from vertexloom.plans import label_propagation
+from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settle, write_graph
+
+
+def pairs_of(graph):
+    return sorted((r["src"], r["dst"]) for r in graph.edges.collect())
+
+
+def ids_of(graph):
+    return sorted(r["id"] for r in graph.vertices.collect())
+
+
+def test_named_graphs(spark, tmp_path, make_graph):
+    root = str(tmp_path)
+    counts = save_graph(make_graph([("a", "b"), ("a", "b")]), root, "one/two: ü")
+    assert (counts.number_of_vertices, counts.number_of_edges) == (2, 2)
+    save_graph(make_graph([("x", "y")]), root, "other")
+    graph = load_graph(spark, root, "one/two: ü")
+    assert pairs_of(graph) == [("a", "b"), ("a", "b")]
+    assert {r["label"] for r in graph.vertices.collect()} == {"one/two: ü-V"}
+    assert {r["label"] for r in graph.edges.collect()} == {"one/two: ü-E"}
+    assert graph.vertices.columns == ["id", "label"]
+
+
+def test_overwrite_replaces(spark, tmp_path, make_graph):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+    counts = save_graph(make_graph([("c", "d")]), root, "g")
+    assert (counts.number_of_vertices, counts.number_of_edges) == (2, 1)
+    assert ids_of(load_graph(spark, root, "g")) == ["c", "d"]
+
+
+def test_append_merges_vertices_and_keeps_theirs(spark, tmp_path, make_graph):
+    root = str(tmp_path)
+    first = make_graph([("a", "b")])
+    scores = first.vertices.select("id", F.lit(1.5).alias("score"))
+    save_graph(with_property(first, scores, "score"), root, "g")
+    counts = save_graph(make_graph([("b", "c"), ("a", "b")]), root, "g", overwrite=False)
+    assert (counts.number_of_vertices, counts.number_of_edges) == (3, 3)
+    graph = load_graph(spark, root, "g")
+    assert {r["id"]: r["score"] for r in graph.vertices.collect()} == {"a": 1.5, "b": 1.5, "c": None}
+    assert pairs_of(graph) == [("a", "b"), ("a", "b"), ("b", "c")]
+
+
+def test_graph_can_be_saved_over_itself(spark, tmp_path, make_graph):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+    graph = load_graph(spark, root, "g")
+    counts = save_graph(clear_edges(with_property(graph, graph.vertices.withColumn("n", F.lit(1)), "n")), root, "g")
+    assert (counts.number_of_vertices, counts.number_of_edges) == (2, 0)
+    assert load_graph(spark, root, "g").vertex_properties == ["n"]
+
+
+def test_copy_keeps_ids(spark, tmp_path, make_graph):
+    save_graph(make_graph([("a", "b"), ("b", "b")]), str(tmp_path / "x"), "g")
+    copy_graph(spark, str(tmp_path / "x"), "g", str(tmp_path / "y"), "h")
+    copied = load_graph(spark, str(tmp_path / "y"), "h")
+    assert (ids_of(copied), pairs_of(copied)) == (["a", "b"], [("a", "b"), ("b", "b")])
+
+
+def test_split_and_merge(spark, tmp_path, make_graph):
+    graph = make_graph([("v1", "v2"), ("v2", "v3"), ("v3", "v1"), ("v3", "v4")])
+    parts = split_graph(graph, [F.col("id").isin("v1", "v2"), F.col("id").isin("v3", "v4")])
+    paths = [str(tmp_path / str(i)) for i in range(2)]
+    for part, path in zip(parts, paths):
+        write_graph(part, path)
+    assert pairs_of(read_graph(spark, paths[0])) == [("v1", "v2"), ("v2", "v3")]
+    merged = read_graph(spark, *paths)
+    assert ids_of(merged) == ["v1", "v2", "v3", "v4"]
+    assert pairs_of(merged) == pairs_of(graph)
+    # the endpoint that only an edge names is created; a vertex in both parts is one
+    assert ids_of(read_graph(spark, paths[0], paths[0])) == ["v1", "v2", "v3"]
+
+
+def test_settle(make_graph):
+    graph = make_graph([("a", "b")])
+    assert pairs_of(settle(graph)) == [("a", "b")]
+
+
+@pytest.mark.parametrize("file_format", ["graphson", "parquet"])
+def test_same_input_and_output_is_refused(spark, tmp_path, file_format):
+    path = str(tmp_path / "g")
+    with pytest.raises(ValueError, match="equals input"):
+        label_propagation(spark, path, path + "/", "c", file_format=file_format)
+
+
+def test_unknown_format(spark, tmp_path):
+    with pytest.raises(ValueError, match="gryo"):
+        label_propagation(spark, str(tmp_path / "a"), str(tmp_path / "b"), "c", file_format="gryo")
