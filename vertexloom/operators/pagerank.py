@@ -47,7 +47,7 @@ def pagerank(
         n = max(layout.num_vertices, 1)
         sink_mass = layout.num_sinks / n
         state = layout.vertices.select(
-            "id", F.lit(1.0 / n).alias("rank"), (F.col("out_degree") == 0).alias("is_sink"), "is_hub"
+            "key", F.lit(1.0 / n).alias("rank"), (F.col("out_degree") == 0).alias("is_sink"), "is_hub"
         )
         inflow = F.sum(F.col("rank") * F.col("weight")).alias("received")
         measures = [
@@ -58,8 +58,8 @@ def pagerank(
         while iterations < max_iter:
             received = layout.send(state, "rank").groupBy("dst").agg(inflow)
             base = (1.0 - alpha + alpha * sink_mass) / n
-            moved = state.join(received, state.id == received.dst, "left").selectExpr(
-                "id",
+            moved = state.join(received, state.key == received.dst, "left").selectExpr(
+                "key",
                 f"{base!r}D + {alpha!r}D * coalesce(received, 0D) AS rank",
                 "rank AS before",
                 "is_sink",
@@ -75,9 +75,13 @@ def pagerank(
             iterations += 1
             if tol is not None and seen.get["change"] < tol:
                 break
-        if not iterations:
-            state = checkpoint(state)
-    ranks = state.select("id", (F.col("rank") * F.lit(float(total_mass))).alias(result))
+        ranks = checkpoint(
+            layout.vertices.join(state, "key").select(
+                "id", (F.col("rank") * F.lit(float(total_mass))).alias(result)
+            )
+        )
+        if iterations:
+            drop_checkpoint(state)
     ranked = with_property(graph, ranks, result)
     elapsed_ms = int((time.monotonic() - started) * 1000)
     top = top_vertices(ranked, result, return_top) if return_top > 0 else None
