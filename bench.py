@@ -64,13 +64,13 @@ def main() -> None:
         graph = graph_from_edges(
             read_edges_csv(spark, header_csv, "src", "dst", "weight"), directed=True, name="trade"
         )
-        return save_graph(graph, root, "trade")
+        return save_graph(graph, root, "trade", endpoints_only=True)
 
     def load_dir_undirected():
         graph = graph_from_edges(
             read_edges_dir(spark, csv_dir, "src", "dst", ["weight"]), directed=False, name="both"
         )
-        return save_graph(graph, root, "both")
+        return save_graph(graph, root, "both", endpoints_only=True)
 
     timed("load_header_csv", load_header_csv)
     timed("load_dir_undirected", load_dir_undirected)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vertexloom.operators import clear_edges, split_graph, with_property
 from vertexloom.plans import label_propagation
-from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settle, write_graph
+from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settled, write_graph
 
 
 def pairs_of(graph):
@@ -78,9 +78,18 @@ def test_split_and_merge(spark, tmp_path, make_graph):
     assert ids_of(read_graph(spark, paths[0], paths[0])) == ["v1", "v2", "v3"]
 
 
-def test_settle(make_graph):
-    graph = make_graph([("a", "b")])
-    assert pairs_of(settle(graph)) == [("a", "b")]
+@pytest.mark.parametrize("endpoints_only", [True, False])
+def test_settled(make_graph, endpoints_only):
+    with settled(make_graph([("a", "b")], name="g"), endpoints_only) as graph:
+        assert (ids_of(graph), pairs_of(graph)) == (["a", "b"], [("a", "b")])
+        assert {r["label"] for r in graph.vertices.collect()} == {"g-V"}
+
+
+def test_append_endpoints_only(spark, tmp_path, make_graph):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g", endpoints_only=True)
+    counts = save_graph(make_graph([("b", "c")]), root, "g", overwrite=False, endpoints_only=True)
+    assert (counts.number_of_vertices, counts.number_of_edges) == (3, 2)
 
 
 @pytest.mark.parametrize("file_format", ["graphson", "parquet"])

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vertexloom.graph import EDGE_COLUMNS, VERTEX_COLUMNS, Graph, labels_of, property_column
 from vertexloom.runtime import BROADCAST_ROWS, has_at_most
@@ -177,20 +176,12 @@ def split_graph(graph: Graph, conditions: Sequence[Column]) -> list[Graph]:
     return parts
 
 
-def with_edge_ids(edges: DataFrame, materialise) -> DataFrame:
+def with_edge_ids(edges: DataFrame, path: str) -> DataFrame:
     """Give each edge row a distinct BIGINT ``edge_id``; an existing one is replaced.
 
-    The numbers depend on where a row happens to be, so the result goes through
-    ``materialise`` and every later read sees the same ones.
+    The numbers depend on where a row happens to be, so the edges are written
+    to ``path``, and every later read sees the same ones.
     """
     numbered = edges.drop("edge_id").withColumn("edge_id", F.monotonically_increasing_id())
-    return materialise(numbered)
-
-
-def empty_graph(spark, name: str | None = None, weighted: bool = True) -> Graph:
-    """A graph without vertices and edges."""
-    vertices = T.StructType([T.StructField(c, T.StringType()) for c in VERTEX_COLUMNS])
-    edges = T.StructType([T.StructField(c, T.StringType()) for c in EDGE_COLUMNS if c != "edge_id"])
-    if weighted:
-        edges.add("weight", T.DoubleType())
-    return Graph(spark.createDataFrame([], vertices), spark.createDataFrame([], edges), name)
+    numbered.write.parquet(path)
+    return edges.sparkSession.read.parquet(path)

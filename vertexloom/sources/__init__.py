@@ -8,7 +8,7 @@ from vertexloom.sources.store import (
     load_graph,
     read_graph,
     save_graph,
-    settle,
+    settled,
     write_graph,
 )
 
@@ -26,7 +26,7 @@ __all__ = [
     "read_rows_dir",
     "read_schema",
     "save_graph",
-    "settle",
+    "settled",
     "write_graph",
     "write_graphson",
     "write_schema",
