@@ -141,15 +141,15 @@ def test_maintain(spark, make_graph):
 
 
 def test_partition_sizing(spark):
-    assert runtime.partitions_for(spark, 0) == 1
+    assert runtime.partitions_for(spark, 0) == 2
     assert runtime.partitions_for(spark, 10_000_000_000) == 5_000
     assert runtime.partitions_for(spark, 10**13) == runtime.MAX_PARTITIONS
 
 
-def test_fixed_layout_restores_settings(spark):
+def test_planning_restores_settings(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
     with pytest.raises(KeyError):
-        with runtime.fixed_layout(spark, 3):
+        with runtime.planning(spark, partitions=3, adaptive=False):
             assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
             raise KeyError
     assert before == (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled"))

@@ -1,0 +1,143 @@
+"""What the physical plans look like."""
+
+import re
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from vertexloom.operators import (
+    add_edges,
+    both_directions,
+    endpoints,
+    graph_from_edges,
+    has_label,
+    neighbours,
+    pagerank,
+    peer_pressure,
+    top_vertices,
+)
+from vertexloom.sources import load_graph, read_edges_csv, save_graph
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def own_nodes(frame):
+    """The operators of a plan, without those that fill the cached tables it scans."""
+    lines, open_ = [], [frame._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() not in ("InputAdapter",) and not node.nodeName().startswith("WholeStageCodegen"):
+            lines.append(node.simpleString(100))
+        children = node.children()
+        open_.extend(children.apply(i) for i in range(children.size()))
+    return lines
+
+
+def count(lines, pattern):
+    return sum(bool(re.search(pattern, line)) for line in lines)
+
+
+@pytest.fixture
+def rounds(monkeypatch):
+    """Plans of the iterations that run in a test."""
+    seen = []
+    for module in ("pagerank", "peer_pressure"):
+        module = sys.modules[f"vertexloom.operators.{module}"]
+        real = module.checkpoint
+
+        def spy(frame, real=real):
+            seen.append(own_nodes(frame))
+            return real(frame)
+
+        monkeypatch.setattr(module, "checkpoint", spy)
+    return seen
+
+
+PAIRS = [(f"a{i % 50}", f"b{i % 7}") for i in range(400)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pagerank_round_shuffles_only_summed_messages(make_graph, rounds, no_broadcast):
+    pagerank(make_graph(PAIRS), max_iter=3)
+    for plan in rounds[:3]:
+        assert count(plan, "Exchange hashpartitioning") == 1
+        assert count(plan, "Exchange") == 1
+        assert count(plan, "partial_sum") == 1
+        # only the sums are sorted, state and edges already are
+        assert count(plan, r"\bSort \[") == 1
+        assert count(plan, "CartesianProduct|NestedLoop|Python") == 0
+    # names are put back without a shuffle
+    assert count(rounds[3], "Exchange") == 0
+
+
+def test_hubs_add_a_broadcast_and_no_shuffle(make_graph, rounds, no_broadcast):
+    hub = [("a1", f"b{i}") for i in range(20)]
+    pagerank(make_graph(PAIRS + hub), max_iter=2, edges_per_hub=20)
+    for plan in rounds[:2]:
+        assert count(plan, "Exchange hashpartitioning") == 1
+        assert count(plan, "BroadcastExchange") == 1
+
+
+def test_peer_pressure_round(make_graph, rounds, no_broadcast):
+    peer_pressure(make_graph(PAIRS, directed=False), max_iter=3)
+    # at first a vertex's cluster is the vertex, so the votes are where they are tallied
+    assert count(rounds[0], "Exchange") == 1
+    for plan in rounds[1:3]:
+        # one shuffle tallies the votes by (vertex, cluster), one finds the winner
+        assert count(plan, "Exchange") == 2
+        assert count(plan, "partial_sum") == 1
+        assert count(plan, "partial_min") == 1
+        assert count(plan, "CartesianProduct|NestedLoop|Python") == 0
+
+
+def test_scan_of_a_stored_graph_is_pruned_and_filtered(spark, tmp_path, make_graph):
+    save_graph(make_graph(PAIRS), str(tmp_path), "g")
+    graph = load_graph(spark, str(tmp_path), "g")
+    plan = plan_of(neighbours(graph))
+    assert re.search(r"ReadSchema: struct<src:string,dst:string>", plan)
+    plan = plan_of(has_label(graph.vertices, "g-V").select("id"))
+    assert "EqualTo(label,g-V)" in plan
+
+
+def test_csv_scan_reads_chosen_columns(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("src,dst,weight,more,and_more\na,b,1,x,y\n")
+    plan = plan_of(read_edges_csv(spark, str(tmp_path / "e.csv"), "src", "dst"))
+    assert "ReadSchema: struct<src:string,dst:string>" in plan
+
+
+def test_sources_are_read_once(spark, tmp_path, make_graph):
+    save_graph(make_graph(PAIRS), str(tmp_path), "g")
+    edges = load_graph(spark, str(tmp_path), "g").edges
+    assert plan_of(both_directions(edges)).count("FileScan") == 1
+    assert plan_of(endpoints(edges)).count("FileScan") == 1
+    plan = plan_of(endpoints(edges))
+    assert plan.count("HashAggregate(keys=[id") == 2 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_top_k_is_not_a_full_sort(make_graph):
+    graph = make_graph(PAIRS)
+    ranked = graph.with_vertices(graph.vertices.withColumn("r", F.length("id")))
+    assert "TakeOrderedAndProject" in plan_of(top_vertices(ranked, "r", 5))
+
+
+def test_known_endpoints_need_no_join(spark, make_graph):
+    graph = make_graph(PAIRS)
+    more = graph.edges.select("src", "dst", "weight")
+    added = add_edges(graph, more, check=False)
+    assert "Join" not in plan_of(added.edges)
+
+
+def test_graph_from_edges_needs_one_shuffle(spark):
+    frame = spark.range(10).selectExpr("string(id) AS src", "string(id % 3) AS dst")
+    graph = graph_from_edges(frame, directed=False)
+    assert plan_of(graph.vertices).count("Exchange") == 1
+    assert "Exchange" not in plan_of(graph.edges)

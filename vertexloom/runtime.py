@@ -56,20 +56,26 @@ def drop_checkpoint(df: DataFrame) -> None:
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:
-    """Shuffle width for ``rows`` rows: few tasks for little data, bounded for much."""
+    """Shuffle width for ``rows`` rows: few tasks for little data, bounded for much.
+
+    At least two, because Spark plans single partitions differently.
+    """
     small = min(spark.sparkContext.defaultParallelism, ceil(rows / SMALL_ROWS_PER_PARTITION))
-    return max(1, small, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
+    return max(2, small, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
 
 
 @contextmanager
-def fixed_layout(spark: SparkSession, partitions: int) -> Iterator[None]:
+def planning(spark: SparkSession, *, partitions: int, adaptive: bool | None = None) -> Iterator[None]:
     """Plan with exactly ``partitions`` shuffle partitions.
 
     Iterative jobs lay out their tables once and rely on that layout in every
-    round. Adaptive planning would regroup the partitions, and frames
-    checkpointed under it forget their partitioning, so it is off in here.
+    round, so all of their plans must have the same width. In the rounds
+    themselves ``adaptive`` planning is off: there is no shuffle it may regroup,
+    and frames checkpointed under it forget their partitioning.
     """
-    wanted = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.enabled": "false"}
+    wanted = {"spark.sql.shuffle.partitions": str(partitions)}
+    if adaptive is not None:
+        wanted["spark.sql.adaptive.enabled"] = str(adaptive).lower()
     before = {key: spark.conf.get(key) for key in wanted}
     try:
         for key, value in wanted.items():
