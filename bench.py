@@ -76,6 +76,11 @@ def main() -> None:
     timed("load_dir_undirected", load_dir_undirected)
     graph, both = load_graph(spark, root, "trade"), load_graph(spark, root, "both")
 
+    # the first run of a plan compiles it
+    pagerank(both, max_iter=2)
+    peer_pressure(both, max_iter=2)
+
+    timed("pagerank_5", lambda: pagerank(graph, max_iter=5))
     ranking = timed("pagerank_20", lambda: pagerank(graph, max_iter=20))
     timed("pagerank_undirected_20", lambda: pagerank(both, max_iter=20))
     timed("peer_pressure_unit_5", lambda: peer_pressure(both, max_iter=5))
@@ -98,7 +103,7 @@ def main() -> None:
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "seconds_per_iteration": {
-                    "pagerank": round(seconds["pagerank_20"] / 20, 3),
+                    "pagerank": round((seconds["pagerank_20"] - seconds["pagerank_5"]) / 15, 3),
                     "peer_pressure": round(
                         (seconds["peer_pressure_unit_30"] - seconds["peer_pressure_unit_5"]) / 25, 3
                     ),
