@@ -176,7 +176,7 @@ def schema_sidecar(spark: SparkSession, folder: str) -> DataFrame:
         "customers",
     )
     schema = read_schema(spark, path)
-    type_names = [line.split(":") for line in spark.read.text(f"{path}/schema").toPandas()["value"]]
+    type_names = [row["value"].split(":") for row in spark.read.text(f"{path}/schema").collect()]
     assert [name for name, _ in type_names] == schema.names
     rows = read_rows_dir(spark, path)
     columns = F.array(
@@ -431,10 +431,10 @@ def split_and_merge(spark: SparkSession, folder: str) -> DataFrame:
     return whole_graph(read_graph(spark, *paths))
 
 
-# --- pipelines ----------------------------------------------------------------
+# --- end to end ---------------------------------------------------------------
 
 
-def pipeline_rank_cluster_export(spark: SparkSession, folder: str) -> DataFrame:
+def rank_cluster_export(spark: SparkSession, folder: str) -> DataFrame:
     source, root, output = (scratch_path(spark, what) for what in ("edges", "store", "export"))
     tables.nation_flow(spark, folder).write.option("header", True).csv(source)
     rank_and_cluster(
@@ -454,7 +454,7 @@ def pipeline_rank_cluster_export(spark: SparkSession, folder: str) -> DataFrame:
     return written.withColumn("pagerank", F.round("pagerank", 8))
 
 
-def pipeline_files(spark: SparkSession, folder: str) -> DataFrame:
+def clustered_files(spark: SparkSession, folder: str) -> DataFrame:
     edges = tables.trade(spark, folder).toDF("p1", "p2", "weight")
     source = write_rows_dir(edges, "edges")
     work, output = scratch_path(spark, "work"), scratch_path(spark, "export")
@@ -473,7 +473,7 @@ def label_propagation_parquet(spark: SparkSession, folder: str) -> DataFrame:
     return read_graph(spark, target).vertices.select("id", "cluster")
 
 
-def pipeline_incremental(spark: SparkSession, folder: str) -> DataFrame:
+def incremental_maintenance(spark: SparkSession, folder: str) -> DataFrame:
     graph = graph_of(spark, folder, "trade")
     _, counts = maintain(graph, traders(spark, folder).select("id"), tables.trade(spark, folder))
     return spark.createDataFrame(list(counts.items()), "step string, count bigint")
@@ -519,10 +519,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "named_graph_counts": named_graph_counts,
         "copy_graph": copied_graph,
         "split_and_merge": split_and_merge,
-        "pipeline_rank_cluster_export": pipeline_rank_cluster_export,
-        "pipeline_files": pipeline_files,
+        "rank_cluster_export": rank_cluster_export,
+        "cluster_files": clustered_files,
         "label_propagation_parquet": label_propagation_parquet,
-        "pipeline_incremental": pipeline_incremental,
+        "incremental_maintenance": incremental_maintenance,
     }
 
 

@@ -186,13 +186,13 @@ def oracle_sql() -> dict[str, str]:
                 (SELECT count(*) FROM ({NATION_FLOW})) + (SELECT count(*) FROM ({USER_ACTIONS}))""",
         "copy_graph": _whole_graph(NATION_FLOW),
         "split_and_merge": _whole_graph(TRADE),
-        "pipeline_rank_cluster_export": f"""WITH {pagerank_ctes(NATION_FLOW)},
+        "rank_cluster_export": f"""WITH {pagerank_ctes(NATION_FLOW)},
             votes AS ({peer_pressure(NATION_FLOW, "unit")})
             SELECT ranked.id AS name, pagerank, cluster AS "clusterID" FROM ranked JOIN votes ON votes.id = ranked.id""",
-        "pipeline_files": f"""WITH {peer_pressure_ctes(undirected(TRADE), "unit")}
+        "cluster_files": f"""WITH {peer_pressure_ctes(undirected(TRADE), "unit")}
             SELECT id AS name, cluster AS "clusterID" FROM clustered""",
         "label_propagation_parquet": peer_pressure(undirected(PAGE_LINKS), "distributed"),
-        "pipeline_incremental": f"""SELECT 'vertices after clear' AS step, CAST(0 AS BIGINT) AS count
+        "incremental_maintenance": f"""SELECT 'vertices after clear' AS step, CAST(0 AS BIGINT) AS count
             UNION ALL SELECT 'vertices after insert', (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
             UNION ALL SELECT 'edges after clear', 0
             UNION ALL SELECT 'edges after insert', (SELECT count(*) FROM ({TRADE}))""",

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vertexloom.operators.propagation import attach, laid_out
+from vertexloom.operators import adjacency, stars
+from vertexloom.operators.lookup import attach
+from vertexloom.operators.propagation import laid_out
 
 
 @pytest.mark.parametrize("with_hot", [False, True])
@@ -21,6 +23,30 @@ def test_attach(spark, with_hot, key_type):
     assert found.where(F.col("found") != F.col("k").cast("bigint") * 10).count() == 0
 
 
+@pytest.mark.parametrize("with_hot", [False, True])
+def test_attach_with_default(spark, with_hot):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), ("z",)], "k string")
+    table = spark.createDataFrame([("a", 1), ("b", 2)], "key string, value int")
+    hot = table.where("key = 'a'") if with_hot else None
+    found = attach(rows, "k", table, "v", hot, missing=0)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 1), ("a", 1), ("b", 2), ("z", 0)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 1])
+def test_stars_of_hubs(make_graph, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(adjacency, "BROADCAST_ROWS", broadcast_rows)
+    pairs = [("hub", f"v{i % 40}") for i in range(600)] + [("mid", f"v{i}") for i in range(30)] + [("a", "b")]
+    parts = stars(make_graph(pairs), edges_per_star=20)
+    sizes = parts.select(
+        "id", (F.size("out_edges") + F.size("in_edges")).alias("n"), F.col("vertex").isNotNull().alias("v")
+    ).collect()
+    assert sum(r["n"] for r in sizes) == 2 * len(pairs)
+    assert all(r["v"] for r in sizes)
+    assert sum(r["id"] == "hub" for r in sizes) == 30
+    assert max(r["n"] for r in sizes) < 60
+    assert {r["id"] for r in sizes} == {v for pair in pairs for v in pair}
+
+
 def test_hot_rows_spread_over_the_shuffle(spark):
     rows = spark.range(0, 4_000, 1, 4).select(F.lit("hot").alias("k"), F.col("id").alias("n"))
     table = spark.createDataFrame([("hot", 1), ("cold", 2)], "key string, value int")

@@ -1,4 +1,4 @@
-from vertexloom.plans.pipelines import (
+from vertexloom.plans.jobs import (
     RankAndCluster,
     cluster_files,
     label_propagation,
