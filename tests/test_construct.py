@@ -9,7 +9,6 @@ from vertexloom.operators import (
     add_vertices,
     clear_edges,
     clear_vertices,
-    construct,
     graph_counts,
     graph_from_edges,
     has,
@@ -62,7 +61,7 @@ def test_number_endpoints(spark):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_add_edges(spark, make_graph, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(construct, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
     graph = make_graph([("a", "b"), ("b", "c")])
     more = edges_frame(spark, ("a", "b"), ("a", "x"), ("y", "b"), ("c", "a"))
     unchecked = add_edges(graph, more, check=False)
@@ -84,7 +83,7 @@ def test_add_vertices_is_idempotent(spark, make_graph):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_clear(make_graph, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(construct, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
     graph = make_graph([("a", "b"), ("b", "c"), ("c", "d"), ("d", "d")])
     some = clear_vertices(graph, F.col("id") == "b")
     assert (ids_of(some), pairs_of(some)) == (["a", "c", "d"], [("c", "d"), ("d", "d")])
@@ -146,6 +145,15 @@ def test_partition_sizing(spark):
     assert runtime.partitions_for(spark, 10**13) == runtime.MAX_PARTITIONS
 
 
+def test_broadcast_bounds(spark, monkeypatch):
+    assert runtime.broadcast_rows(0) == runtime.BROADCAST_ROWS
+    assert runtime.broadcast_rows(10**6) == 134
+    ids = spark.range(20).select(F.col("id").cast("string").alias("id"))
+    assert runtime.fits_broadcast(ids)
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 29)
+    assert not runtime.fits_broadcast(ids)
+
+
 def test_planning_restores_settings(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
     with pytest.raises(KeyError):

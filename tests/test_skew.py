@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vertexloom.operators import adjacency, stars
+from vertexloom import runtime
+from vertexloom.operators import peer_pressure, stars
 from vertexloom.operators.lookup import attach
 from vertexloom.operators.propagation import laid_out
 
@@ -34,7 +35,7 @@ def test_attach_with_default(spark, with_hot):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 1])
 def test_stars_of_hubs(make_graph, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(adjacency, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
     pairs = [("hub", f"v{i % 40}") for i in range(600)] + [("mid", f"v{i}") for i in range(30)] + [("a", "b")]
     parts = stars(make_graph(pairs), edges_per_star=20)
     sizes = parts.select(
@@ -79,3 +80,13 @@ def test_keys_follow_names(make_graph):
     with laid_out(graph, F.col("copies")) as layout:
         rows = layout.vertices.orderBy("key").collect()
     assert [r["id"] for r in rows] == sorted((r["id"] for r in rows), key=lambda name: name.encode())
+
+
+def test_large_graph_path_without_broadcast_of_names(make_graph, monkeypatch):
+    """More vertices than may be broadcast, one cluster with nearly all of them."""
+    pairs = [("hub", f"v{i}") for i in range(60)] + [(f"v{i}", "hub") for i in range(20)] + [("x", "y")]
+    graph = make_graph(pairs)
+    expected = {r["id"]: r["c"] for r in peer_pressure(graph, "c", max_iter=4).graph.vertices.collect()}
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 5)
+    found = peer_pressure(graph, "c", max_iter=4, edges_per_hub=10)
+    assert {r["id"]: r["c"] for r in found.graph.vertices.collect()} == expected

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexloom.graph import EDGE_COLUMNS, VERTEX_COLUMNS, Graph, labels_of, property_column
-from vertexloom.runtime import BROADCAST_ROWS, has_at_most
+from vertexloom.runtime import fits_broadcast
 
 
 def project_edges(
@@ -112,7 +112,7 @@ def _between_known(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 def _without_ends_in(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges that have neither end in ``ids``."""
     ids, small = _sized(ids)
-    if has_at_most(ids, 0):
+    if ids.isEmpty():
         ids.unpersist()
         return edges
     for end in ("src", "dst"):
@@ -123,7 +123,7 @@ def _without_ends_in(edges: DataFrame, ids: DataFrame) -> DataFrame:
 def _sized(ids: DataFrame) -> tuple[DataFrame, bool]:
     """The ids, kept, and whether they are few enough to broadcast."""
     ids = ids.persist()
-    return ids, has_at_most(ids, BROADCAST_ROWS)
+    return ids, fits_broadcast(ids)
 
 
 def _by_id(edges: DataFrame, end: str, how: str, ids: DataFrame, small: bool) -> DataFrame:

@@ -11,11 +11,13 @@ from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROWS_PER_PARTITION = 2_000_000
 SMALL_ROWS_PER_PARTITION = 50_000
 MAX_PARTITIONS = 40_000
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 _local_folders: dict[str, str] = {}
 
@@ -86,9 +88,19 @@ def planning(spark: SparkSession, *, partitions: int, adaptive: bool | None = No
             spark.conf.set(key, value)
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows, without counting beyond."""
-    return df.limit(rows + 1).count() <= rows
+def broadcast_rows(longest_id: int) -> int:
+    """How many rows with ids of up to ``longest_id`` bytes may be broadcast."""
+    return max(1, min(BROADCAST_ROWS, BROADCAST_BYTES // max(1, longest_id)))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df``, keyed by ``id``, is small enough to broadcast."""
+    size = (
+        df.limit(BROADCAST_ROWS + 1)
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("bytes"))
+        .first()
+    )
+    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
 
 
 def _filesystem(spark: SparkSession, path: str):
