@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from vertexloom import runtime
 from vertexloom.operators import clear_edges, split_graph, with_property
 from vertexloom.plans import label_propagation
 from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settled, write_graph
@@ -64,7 +65,9 @@ def test_copy_keeps_ids(spark, tmp_path, make_graph):
     assert (ids_of(copied), pairs_of(copied)) == (["a", "b"], [("a", "b"), ("b", "b")])
 
 
-def test_split_and_merge(spark, tmp_path, make_graph):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_split_and_merge(spark, tmp_path, make_graph, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
     graph = make_graph([("v1", "v2"), ("v2", "v3"), ("v3", "v1"), ("v3", "v4")])
     parts = split_graph(graph, [F.col("id").isin("v1", "v2"), F.col("id").isin("v3", "v4")])
     paths = [str(tmp_path / str(i)) for i in range(2)]

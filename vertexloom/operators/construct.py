@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexloom.graph import EDGE_COLUMNS, VERTEX_COLUMNS, Graph, labels_of, property_column
-from vertexloom.runtime import fits_broadcast
+from vertexloom.operators.lookup import attach
+from vertexloom.runtime import broadcast_rows, fits_broadcast
 
 
 def project_edges(
@@ -127,11 +128,24 @@ def _sized(ids: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def _by_id(edges: DataFrame, end: str, how: str, ids: DataFrame, small: bool) -> DataFrame:
-    # Few ids travel to the edges. With many, both sides shuffle, and adaptive
-    # execution splits the partition of an endpoint that has very many edges.
-    keys = ids.select(F.col("id").alias(end))
-    joined = edges.join(F.broadcast(keys) if small else keys, end, how)
-    return joined.select(*edges.columns)
+    """Edges whose ``end`` is (``left_semi``) or is not (``left_anti``) among the ids."""
+    if small:
+        keys = ids.select(F.col("id").alias(end))
+        return edges.join(F.broadcast(keys), end, how).select(*edges.columns)
+    # many ids: a shuffle join, with the ends of very many edges answered by broadcast
+    uses = edges.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    total = uses.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    longest = ids.agg(F.max(F.octet_length("id")).alias("bytes")).first()["bytes"]
+    hot = ids.join(uses.where(F.col("n") > total // broadcast_rows(longest)), "id")
+    listed = attach(
+        edges,
+        end,
+        ids.select("id", F.lit(True).alias("listed")),
+        "_listed",
+        hot.select("id", F.lit(True).alias("listed")),
+        missing=False,
+    )
+    return listed.where(F.col("_listed") == F.lit(how == "left_semi")).select(*edges.columns)
 
 
 def clear_edges(graph: Graph) -> Graph:
