@@ -122,7 +122,8 @@ def oracle_sql() -> dict[str, str]:
         "edges_default_weight": """SELECT 'c' || o_custkey AS src, 's' || l_suppkey AS dst,
             coalesce(CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END, 1) AS weight
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-        "schema_sidecar": """SELECT 0 AS position, 'c_name' AS name, 'String' AS type, count(c_name) AS filled FROM customer
+        "schema_sidecar": """SELECT 0 AS position, 'c_name' AS name, 'String' AS type,
+                count(c_name) AS filled FROM customer
             UNION ALL SELECT 1, 'c_nationkey', 'Integer', count(c_nationkey) FROM customer
             UNION ALL SELECT 2, 'c_acctbal', 'Double', count(c_acctbal) FROM customer
             UNION ALL SELECT 3, 'c_mktsegment', 'String', count(c_mktsegment) FROM customer""",
@@ -180,7 +181,8 @@ def oracle_sql() -> dict[str, str]:
         "named_graph_store": f"""SELECT 'flows' AS graph, src, dst, weight FROM ({PAGE_LINKS})
             UNION ALL SELECT 'mixed', src, dst, weight FROM ({NATION_FLOW})
             UNION ALL SELECT 'mixed', src, dst, weight FROM ({USER_ACTIONS})""",
-        "named_graph_counts": f"""SELECT 'flows' AS graph, (SELECT count(*) FROM ({vertices(PAGE_LINKS)})) AS number_of_vertices,
+        "named_graph_counts": f"""SELECT 'flows' AS graph,
+                (SELECT count(*) FROM ({vertices(PAGE_LINKS)})) AS number_of_vertices,
                 (SELECT count(*) FROM ({PAGE_LINKS})) AS number_of_edges
             UNION ALL SELECT 'mixed', (SELECT count(*) FROM ({vertices(NATION_FLOW)} UNION {vertices(USER_ACTIONS)})),
                 (SELECT count(*) FROM ({NATION_FLOW})) + (SELECT count(*) FROM ({USER_ACTIONS}))""",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vertexloom.graph import EDGE_COLUMNS, VERTEX_COLUMNS, Graph, labels_of, property_column
+from vertexloom.graph import VERTEX_COLUMNS, Graph, labels_of, property_column
 from vertexloom.operators.lookup import attach
 from vertexloom.runtime import broadcast_rows, fits_broadcast
 
