@@ -84,7 +84,7 @@ def main() -> None:
     ranking = timed("pagerank_20", lambda: pagerank(graph, max_iter=20))
     timed("pagerank_undirected_20", lambda: pagerank(both, max_iter=20))
     timed("peer_pressure_unit_5", lambda: peer_pressure(both, max_iter=5))
-    timed("peer_pressure_unit_30", lambda: peer_pressure(both, max_iter=30))
+    rounds = timed("peer_pressure_unit_30", lambda: peer_pressure(both, max_iter=30))
     timed("peer_pressure_distributed_5", lambda: peer_pressure(both, vote="distributed", max_iter=5))
     timed("neighbours", lambda: run(neighbours(graph)))
     timed("graphson_write", lambda: write_graphson(graph, f"{work}/graphson"))
@@ -102,12 +102,10 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
-                "seconds_per_iteration": {
-                    "pagerank": round((seconds["pagerank_20"] - seconds["pagerank_5"]) / 15, 3),
-                    "peer_pressure": round(
-                        (seconds["peer_pressure_unit_30"] - seconds["peer_pressure_unit_5"]) / 25, 3
-                    ),
-                },
+                "seconds_per_pagerank_iteration": round(
+                    (seconds["pagerank_20"] - seconds["pagerank_5"]) / 15, 3
+                ),
+                "peer_pressure_unit_30_rounds": rounds.iterations,
             }
         )
     )
