@@ -58,6 +58,12 @@ from vertexloom.sources import (  # noqa: E402
 )
 from vertexloom.sources.schema_file import DATA_FILE  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from vertexloom.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError:
+    corpus_pipeline = llm = None
+
 GRAPHS = {
     "trade": tables.trade,
     "nation_flow": tables.nation_flow,
@@ -523,8 +529,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_files": clustered_files,
         "label_propagation_parquet": label_propagation_parquet,
         "incremental_maintenance": incremental_maintenance,
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return entry_sql.oracle_sql()
+    return entry_sql.oracle_sql() | (llm.oracle_sql() if llm else {})
