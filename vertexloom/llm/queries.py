@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import hex_sha256, table
+from vertexloom.llm.common import fold, hex_sha256, table
 from vertexloom.llm.decontaminate import contamination
+from vertexloom.llm.jaccard_join import groups
 from vertexloom.llm.line_dedup import dedup_lines
 from vertexloom.llm.mixing import mix
+from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
 
 
@@ -39,11 +41,29 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = classify(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (fold(F.col("row.doc_id"), 4) == 2).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op5_line_dedup": op5_line_dedup,
         "op7_decontaminate": op7_decontaminate,
+        "op9_quality": op9_quality,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
