@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import wraps
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -38,7 +39,7 @@ from vertexloom.operators import (  # noqa: E402
 )
 from vertexloom.plans import cluster_files, label_propagation, maintain, rank_and_cluster  # noqa: E402
 from vertexloom.plans import table_graphs as tables  # noqa: E402
-from vertexloom.runtime import scratch_path  # noqa: E402
+from vertexloom.runtime import scratch_path, use_local_scratch  # noqa: E402
 from vertexloom.sources import (  # noqa: E402
     copy_graph,
     infer_schema,
@@ -76,6 +77,7 @@ ROUNDS = entry_sql.ROUNDS
 
 def entry(spark: SparkSession) -> DataFrame:
     """Top 10 suppliers of the trade graph by PageRank."""
+    use_local_scratch(spark)
     return pagerank_top(spark, "/root/testdata/sf0.001")
 
 
@@ -485,8 +487,17 @@ def incremental_maintenance(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "step string, count bigint")
 
 
+def with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        use_local_scratch(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    named = {
         "edges_typed_projection": edges_typed_projection,
         "edges_default_weight": edges_default_weight,
         "edges_projection_listed_only": edges_projection_listed_only,
@@ -531,6 +542,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_maintenance": incremental_maintenance,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
+    return {name: with_scratch(query) for name, query in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vertexloom.operators import graph_from_edges, neighbours, pagerank, peer_pressure
 from vertexloom.plans import table_graphs as tables
-from vertexloom.runtime import scratch_path
+from vertexloom.runtime import scratch_path, use_local_scratch
 from vertexloom.sources import (
     infer_schema,
     load_graph,
@@ -44,6 +44,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_scratch(spark)
     seconds: dict[str, float] = {}
 
     def timed(name: str, job):

@@ -22,19 +22,30 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 _local_folders: dict[str, str] = {}
 
 
+def use_local_scratch(spark: SparkSession) -> None:
+    """For a session of one machine without ``spark.checkpoint.dir``: work in a temporary folder.
+
+    For entry points, benchmarks and tests. The library itself never falls back to a
+    folder of one machine; a session with executors of their own needs the setting.
+    """
+    context = spark.sparkContext
+    if _named_folder(spark) is None and context.master.partition("[")[0] == "local":
+        key = context.applicationId
+        if key not in _local_folders:
+            _local_folders[key] = tempfile.mkdtemp(prefix="vertexloom-")
+            atexit.register(shutil.rmtree, _local_folders[key], ignore_errors=True)
+
+
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, named by ``spark.checkpoint.dir``."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    if not context.master.startswith("local"):
+    named = _named_folder(spark) or _local_folders.get(spark.sparkContext.applicationId)
+    if named is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
-    key = context.applicationId
-    if key not in _local_folders:
-        _local_folders[key] = tempfile.mkdtemp(prefix="vertexloom-")
-        atexit.register(shutil.rmtree, _local_folders[key], ignore_errors=True)
-    return _local_folders[key]
+    return named
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
