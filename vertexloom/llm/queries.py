@@ -14,6 +14,7 @@ from vertexloom.llm.line_dedup import dedup_lines
 from vertexloom.llm.mixing import mix
 from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
+from vertexloom.llm.secrets import BASE_RULES, find_secrets, span_list
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +22,21 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs).select("doc_id", "source", "mix_position", "mix_phase", "mix_slot", "mix_block")
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [
+        F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in ("assign", "access", "hex")
+    ]
+    base = span_list(F.col("found"), [r.kind for r in BASE_RULES])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *counts,
+        hex_sha256(base).alias("base_sha256"),
+        span_list(F.col("found")).alias("spans"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -60,6 +76,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_secret_scan": op3_secret_scan,
         "op5_line_dedup": op5_line_dedup,
         "op7_decontaminate": op7_decontaminate,
         "op9_quality": op9_quality,

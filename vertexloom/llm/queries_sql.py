@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vertexloom.llm.secrets import BASE_RULES, MORE_RULES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,7 +59,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+
+
+def spans(kind: str, rank: int, pattern: str, group: int, test: str) -> str:
+    """Rows of the matches of a pattern in ``documents`` that pass a test of their group."""
+    literal = pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + length(whole[i]) AS stop
+    FROM (
+        SELECT doc_id, whole, value, i,
+               list_sum(list_transform(between[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM (
+            SELECT doc_id, regexp_extract_all(text, '{literal}') AS whole,
+                   regexp_extract_all(text, '{literal}', {group}) AS value,
+                   regexp_split_to_array(text, '{literal}') AS between
+            FROM documents WHERE regexp_matches(text, '{literal}')
+        ), unnest(range(1, len(whole) + 1)) AS t(i)
+    ) WHERE {test}"""
+
+
+def secret_scan() -> str:
+    every = (*BASE_RULES, *MORE_RULES)
+    parts = [spans(r.kind, i, r.pattern, r.group, f"length(value[i]) >= {r.least}") for i, r in enumerate(every)]
+    counts = [f"count(s.kind) FILTER (s.kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES]
+    listed = "string_agg(concat(s.kind, ':', s.start, ':', s.stop), ',' ORDER BY s.start, s.rank)"
+    base = ", ".join(f"'{r.kind}'" for r in BASE_RULES)
+    return f"""
+WITH s AS ({" UNION ALL ".join(parts)})
+SELECT d.doc_id, {", ".join(counts)},
+       sha256(coalesce({listed} FILTER (s.kind IN ({base})), '')) AS base_sha256,
+       coalesce({listed} FILTER (s.kind IS NOT NULL), '') AS spans
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 ORACLES = {
+    "op3_secret_scan": secret_scan(),
     "op5_line_dedup": LINE_DEDUP,
     "op7_decontaminate": DECONTAMINATE,
 }
