@@ -11,10 +11,12 @@ from vertexloom.llm.common import fold, hex_sha256, table
 from vertexloom.llm.decontaminate import contamination
 from vertexloom.llm.jaccard_join import groups
 from vertexloom.llm.line_dedup import dedup_lines
+from vertexloom.llm.markov import score_texts
 from vertexloom.llm.mixing import mix
 from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
 from vertexloom.llm.secrets import BASE_RULES, find_secrets, span_list
+from vertexloom.llm.top_k import top_k
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +24,10 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(docs).select("doc_id", "source", "mix_position", "mix_phase", "mix_slot", "mix_block")
 
 
+def op2_markov_score(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     counts = [
@@ -57,6 +63,11 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = classify(docs, table(spark, folder, "labels").select("doc_id", "quality"))
@@ -76,9 +87,11 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_markov_score": op2_markov_score,
         "op3_secret_scan": op3_secret_scan,
         "op5_line_dedup": op5_line_dedup,
         "op7_decontaminate": op7_decontaminate,
+        "op8_top_k": op8_top_k,
         "op9_quality": op9_quality,
         "op10_jaccard_join": op10_jaccard_join,
     }

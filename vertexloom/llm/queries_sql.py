@@ -95,8 +95,25 @@ GROUP BY d.doc_id
 """
 
 
+TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op3_secret_scan": secret_scan(),
     "op5_line_dedup": LINE_DEDUP,
     "op7_decontaminate": DECONTAMINATE,
+    "op8_top_k": TOP_K,
 }
