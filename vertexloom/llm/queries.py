@@ -13,9 +13,11 @@ from vertexloom.llm.jaccard_join import groups
 from vertexloom.llm.line_dedup import dedup_lines
 from vertexloom.llm.markov import score_texts
 from vertexloom.llm.mixing import mix
+from vertexloom.llm.private_data import KINDS, find_private_data
 from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
-from vertexloom.llm.secrets import BASE_RULES, find_secrets, span_list
+from vertexloom.llm.secrets import BASE_RULES, find_secrets
+from vertexloom.llm.spans import span_list
 from vertexloom.llm.top_k import top_k
 
 
@@ -43,6 +45,20 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_private_data(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [
+        F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in KINDS
+    ]
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *counts,
+        hex_sha256(span_list(F.col("found"), KINDS)).alias("base_sha256"),
+        span_list(F.col("found")).alias("spans"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -89,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_markov_score": op2_markov_score,
         "op3_secret_scan": op3_secret_scan,
+        "op4_private_data": op4_private_data,
         "op5_line_dedup": op5_line_dedup,
         "op7_decontaminate": op7_decontaminate,
         "op8_top_k": op8_top_k,

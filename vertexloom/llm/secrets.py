@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexloom.llm.common import ascii_lower, content_key, stored
-from vertexloom.llm.spans import let, listed, named, spans_of
+from vertexloom.llm.spans import let, named, spans_of
 
 ALTERNATIVES = 64
 
@@ -153,8 +153,3 @@ def find_secrets(docs: DataFrame, rules: Iterable[Rule] = (*BASE_RULES, *MORE_RU
         if r.kind in indexed
     ]
     return met.select("row", F.array_sort(F.concat("scanned", *verified)).alias("found"))
-
-
-def span_list(found: Column, kinds: Iterable[str] | None = None) -> Column:
-    wanted = found if kinds is None else F.filter(found, lambda s: s["kind"].isin(list(kinds)))
-    return listed(wanted)

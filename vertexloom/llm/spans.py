@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,7 +54,10 @@ def named(spans: Column, kind: str, rank: int) -> Column:
     )
 
 
-def listed(spans: Column) -> Column:
-    """``kind:start:end`` by start, then rank, comma-joined."""
+def span_list(spans: Column, kinds: Iterable[str] | None = None) -> Column:
+    """``kind:start:end`` of the spans (of some kinds) by start, then rank, comma-joined."""
+    if kinds is not None:
+        wanted = list(kinds)
+        spans = F.filter(spans, lambda s: s["kind"].isin(wanted))
     parts = F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     return F.array_join(parts, ",")
