@@ -13,6 +13,7 @@ from vertexloom.llm.jaccard_join import groups
 from vertexloom.llm.line_dedup import dedup_lines
 from vertexloom.llm.markov import score_texts
 from vertexloom.llm.mixing import mix
+from vertexloom.llm.page_text import extract
 from vertexloom.llm.private_data import KINDS, find_private_data
 from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
@@ -66,6 +67,16 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select(
+        F.col("row.page_id").alias("page_id"),
+        F.col("row.url").alias("url"),
+        "text",
+        F.char_length("text").cast("long").alias("n_chars"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, folder, "benchmark").select("item_id", "text"))
@@ -107,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_scan": op3_secret_scan,
         "op4_private_data": op4_private_data,
         "op5_line_dedup": op5_line_dedup,
+        "op6_page_text": op6_page_text,
         "op7_decontaminate": op7_decontaminate,
         "op8_top_k": op8_top_k,
         "op9_quality": op9_quality,
