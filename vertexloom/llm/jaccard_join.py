@@ -32,11 +32,20 @@ PERCENT = 75
 SKETCH_BITS, SLICES = 20, 64
 TOKENS_PER_CLASS = 16
 PIVOT_ORDERS = 3
-WORDS_KEPT = 500_000
+SETS_SEEN = 500_000
+SALTS = 1_024
 
-_ODD = np.array(
-    [int.from_bytes(blake2b(f"odd {i}".encode(), digest_size=8).digest(), "little") | 1 for i in range(16)], np.uint64
-)
+
+def _numbers(name: str, count: int) -> np.ndarray:
+    """Fixed odd numbers of 64 bits without a pattern."""
+    return np.array(
+        [int.from_bytes(blake2b(f"{name} {i}".encode(), digest_size=8).digest(), "little") | 1 for i in range(count)],
+        np.uint64,
+    )
+
+
+_ODD, _OF_BYTE = _numbers("odd", 16), _numbers("byte", 256)
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -47,30 +56,68 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Texts to sorted arrays of distinct shingle hashes."""
+    """Texts to sorted arrays of distinct shingle hashes.
 
-    def __init__(self, size: int = SHINGLE):
-        self.size, self.known = size, {}
+    A word's hash is a sum over its bytes of a number for the byte times a power for its
+    place in the word. Sums over the whole text give those of all its words at once.
+    """
 
-    def word(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= WORDS_KEPT:
-                self.known.clear()
-            found = self.known[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return found
+    def __init__(self, size: int = SHINGLE):
+        self.size = size
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def _powers(self, length: int) -> None:
+        if len(self.power) < length:
+            length = max(length, 1 << 16, 2 * len(self.power))
+            for name, base in (("power", int(_ODD[12])), ("inverse", pow(int(_ODD[12]), -1, 1 << 64))):
+                factors = np.full(length, base, np.uint64)
+                factors[0] = 1
+                setattr(self, name, np.cumprod(factors, dtype=np.uint64))
+
+    def words(self, text: str | None) -> np.ndarray:
+        """Hashes of what ASCII white space parts, A-Z lower-cased."""
+        data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~_IS_SPACE[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        self._powers(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_OF_BYTE[data] * self.power[: len(data)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
     def tokens(self, text: str | None) -> np.ndarray:
-        """Words are what ASCII white space parts, A-Z lower-cased; fewer than a shingle's words are one."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes = np.fromiter(map(self.word, words), np.uint64, len(words))
-        if not len(words):
+        """Fewer words than a shingle's are one shingle; no words are none."""
+        hashes = self.words(text)
+        if not len(hashes):
             return hashes
-        n = min(self.size, len(words))
-        total = np.full(len(words) - n + 1, n, np.uint64)
-        for i in range(n):
-            total = mixed(total + hashes[i : len(words) - n + 1 + i] * _ODD[i])
-        return np.unique(total)
+        n = min(self.size, len(hashes))
+        count = len(hashes) - n + 1
+        total = hashes[:count] * _ODD[0] + np.uint64(n)
+        for i in range(1, n):
+            total += hashes[i : count + i] * _ODD[i]
+        total = mixed(total)
+        total.sort()
+        return total[np.append(True, total[1:] != total[:-1])]
+
+
+def outline(tokens: np.ndarray) -> bytes:
+    """Counts of tokens by slot, with about two tokens to a slot; empty if a count does not fit a byte."""
+    slots = 1 << max(6, (len(tokens) // 2).bit_length())
+    counts = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def may_be_similar(left: bytes, right: bytes, percent: int) -> bool:
+    """False only for sets whose outlines leave too little in common."""
+    if not left or not right:
+        return True
+    a, b = np.frombuffer(left, np.uint8).astype(np.int64), np.frombuffer(right, np.uint8).astype(np.int64)
+    if len(a) > len(b):
+        a, b = b, a
+    b = b.reshape(-1, len(a)).sum(axis=0)
+    common = int(np.minimum(a, b).sum())
+    return 100 * common >= percent * (int(a.sum()) + int(b.sum()) - common)
 
 
 def digest(tokens: np.ndarray) -> tuple[int, int]:
@@ -89,12 +136,20 @@ def _reader(size: int):
             counts += np.bincount(slots, minlength=len(counts))
             both = [digest(tokens) for tokens in sets]
             yield batch[["doc_id", "_k1", "_k2"]].assign(
-                n=[len(t) for t in sets], d1=[d for d, _ in both], d2=[d for _, d in both], slice=-1, counts=None
+                n=[len(t) for t in sets],
+                d1=[d for d, _ in both],
+                d2=[d for _, d in both],
+                outline=[outline(t) for t in sets],
+                slice=-1,
+                counts=None,
             )
         if counts.any():
             parts = [part.tobytes() for part in counts.reshape(SLICES, -1)]
             yield pd.DataFrame(
-                {"doc_id": None, "_k1": 0, "_k2": 0, "n": 0, "d1": 0, "d2": 0, "slice": range(SLICES), "counts": parts}
+                {
+                    **{"doc_id": None, "_k1": 0, "_k2": 0, "n": 0, "d1": 0, "d2": 0, "outline": None},
+                    **{"slice": range(SLICES), "counts": parts},
+                }
             )
 
     return read
@@ -119,7 +174,7 @@ def frequent_tokens(read: DataFrame) -> np.ndarray:
 
 
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Hashes of the single tokens and the pairs of tokens of a set's prefix."""
+    """Hashes of the single tokens (even) and the pairs of tokens (odd) of a set's prefix."""
     n = len(tokens)
     if n < 2:
         return tokens[:0]  # one token is similar to itself only, and equal sets are one class
@@ -129,9 +184,10 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
     often = (frequent[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
     rare = tokens[~often][:wanted]
     wanted -= len(rare)
+    one = np.uint64(1)
     if wanted <= 0:
-        return rare
-    often, found = tokens[often], [rare]
+        return np.unique(rare & ~one)
+    often, found = tokens[often], [rare & ~one]
     # The number of classes goes by the smaller set of a pair, up to a power of two.
     for scale in range(least.bit_length(), n.bit_length() + 1):
         classes = max(1, (1 << (scale - 1)) // TOKENS_PER_CLASS)
@@ -144,7 +200,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
         for stop in [*(np.flatnonzero(np.diff(of[:end][order])) + 1).tolist(), len(order)]:
             left, right = np.triu_indices(stop - start, 1)
             group = by_class[start:stop]
-            found.append(mixed(group[left] * _ODD[13] + group[right] * _ODD[14] + np.uint64(scale)))
+            found.append(mixed(group[left] * _ODD[13] + group[right] * _ODD[14] + np.uint64(scale)) | one)
             start = stop
     return np.unique(np.concatenate(found))
 
@@ -159,7 +215,7 @@ def _signer(size: int, frequent: np.ndarray, percent: int):
                 name = digest(tokens)[0]
                 if name in seen:
                     continue  # a copy of what this task has signed
-                if len(seen) >= WORDS_KEPT:
+                if len(seen) >= SETS_SEEN:
                     seen.clear()
                 seen.add(name)
                 sigs.append(signatures(tokens, frequent, percent).view(np.int64))
@@ -171,12 +227,11 @@ def _signer(size: int, frequent: np.ndarray, percent: int):
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by signature and set, those of signatures with several sets.
+    """Of rows sorted by signature and set, each once, those of signatures with several sets.
 
-    The first and the last signature of a task stay in any case, as others may have more
-    of them.
+    Pairs of frequent tokens are spread over tasks, so their rows all stay.
     """
-    last, alone, first = None, False, True
+    last, kept = None, False
     for batch in batches:
         rows = batch[["sig", "d1"]].to_numpy(np.int64)
         if not len(rows):
@@ -185,15 +240,24 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = np.vstack([last[None, :], rows])
         rows = rows[np.append(True, (rows[1:] != rows[:-1]).any(axis=1))]
         same = rows[1:, 0] == rows[:-1, 0]
-        keep = np.append(same, False) | np.append(False, same)
-        keep[0] |= first or not alone
+        keep = np.append(same, False) | np.append(False, same) | (rows[:, 0] & 1 == 1)
+        keep[0] |= kept
         # The last row waits for the next batch, which may have more of its signature.
-        last, alone, first = rows[-1], not keep[-1], False
+        last, kept = rows[-1], keep[-1]
         yield pd.DataFrame(rows[:-1][keep[:-1]], columns=["sig", "d1"])
-    if last is not None:
+    if last is not None and kept:
         yield pd.DataFrame(last[None, :], columns=["sig", "d1"])
 
 
+def _may_be_similar(percent: int):
+    @F.pandas_udf("boolean")
+    def similar(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        found = [may_be_similar(a, b, percent) for a, b in zip(lefts, rights, strict=True)]
+        return pd.Series(found, dtype="bool")
+
+    return similar
+
+
 def _similar(size: int, percent: int):
     @F.pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -249,32 +313,42 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     id_type = docs.schema["doc_id"].dataType
     # The id goes through Python as text: pandas would make a column with nulls one of floats.
     texts = docs.select(F.col("doc_id").cast("string"), *content_key(F.col("doc_id"), F.col("text")), "text")
-    columns = "doc_id string, _k1 long, _k2 long, n long, d1 long, d2 long, slice int, counts binary"
+    columns = (
+        "doc_id string, _k1 long, _k2 long, n long, d1 long, d2 long, outline binary, slice int, counts binary"
+    )
     read = stored(texts.mapInPandas(_reader(size), columns), "shingle-sets")
     own = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_k1", "_k2")
     per_row = read.where("slice < 0").withColumn("doc_id", F.col("doc_id").cast(id_type))
     sets = per_row.select("doc_id", "_k1", "_k2", "n", "d1", "d2", own.alias("own"))
-    classes = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("own").alias("first"), F.max("n").alias("n"))
+    by_set = per_row.where("n > 0").withColumn("own", own).groupBy("d1", "d2")
+    classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"))
 
     frequent = frequent_tokens(read)
     pair = "sig long, d1 long"
     signed = texts.select("text").mapInPandas(_signer(size, frequent, percent), pair)
-    ordered = stored(signed, "signatures").repartitionByRange("sig", "d1").sortWithinPartitions("sig", "d1")
+    # A rare token has few sets, which meet in one task. A pair of frequent ones may have
+    # very many, so those rows are spread and pass.
+    salt = F.when(F.col("sig") % 2 == 0, F.lit(0)).otherwise(F.pmod("d1", F.lit(SALTS)))
+    ordered = signed.repartition(F.col("sig"), salt).sortWithinPartitions("sig", "d1")
     shared = stored(ordered.mapInPandas(_shared, pair), "shared-signatures")
     involved = shared.select("d1").distinct()
     nodes = stored(
         classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
     )
     members = stored(shared.join(nodes.select("d1", "node", "n"), "d1").select("sig", "node", "n"), "members")
-    class_texts = texts.join(
-        nodes.select("node", F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2")), ["_k1", "_k2"]
-    ).dropDuplicates(["_k1", "_k2"])
-    class_texts = stored(class_texts.select("node", "text"), "class-texts")
+    outlines = nodes.select("node", "outline")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        left = class_texts.toDF("a", "left")
-        right = class_texts.toDF("b", "right")
-        met = pairs.join(right, "b").join(left, "a")
+        """Of pairs ``a``, ``b`` of nodes, those whose texts are similar."""
+        met = pairs.join(outlines.toDF("b", "right"), "b").join(outlines.toDF("a", "left"), "a")
+        likely = stored(met.where(_may_be_similar(percent)("left", "right")).select("a", "b"), "likely-pairs")
+        of_pairs = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        wanted = nodes.join(of_pairs, "node").select(
+            "node", F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2")
+        )
+        found = texts.join(wanted, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
+        found = stored(found.select("node", "text"), "texts-of-pairs")
+        met = likely.join(found.toDF("b", "right"), "b").join(found.toDF("a", "left"), "a")
         return stored(met.where(_similar(size, percent)("left", "right")).select("a", "b"), "links")
 
     near = (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
