@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vertexloom.llm.common import SPACES, ascii_lower, content_key, small_batches, stored
 
@@ -105,7 +106,7 @@ def dropped_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_chars
     return dropped.unionByName(settled.select("_k1", "_k2", "pos"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _bitmap(positions: pd.Series) -> pd.Series:
     """One bit per line up to the last dropped one, whole bytes: 1 keeps; lines beyond are kept."""
 
@@ -117,7 +118,7 @@ def _bitmap(positions: pd.Series) -> pd.Series:
     return positions.map(bits)
 
 
-@F.pandas_udf("struct<text:string,n_dropped:long>")
+@F.pandas_udf(T.StructType().add("text", T.StringType()).add("n_dropped", T.LongType()))
 def _apply(text: pd.Series, bitmap: pd.Series) -> pd.DataFrame:
     def cut(whole, bits):
         if bits is None:
