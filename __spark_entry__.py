@@ -57,7 +57,7 @@ from vertexloom.sources import (  # noqa: E402
     write_vertices_csv,
     write_vertices_dir,
 )
-from vertexloom.sources.schema_file import DATA_FILE  # noqa: E402
+from vertexloom.sources.schema_file import DATA_FILE, type_name  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -184,18 +184,17 @@ def schema_sidecar(spark: SparkSession, folder: str) -> DataFrame:
         "customers",
     )
     schema = read_schema(spark, path)
-    type_names = [row["value"].split(":") for row in spark.read.text(f"{path}/schema").collect()]
-    assert [name for name, _ in type_names] == schema.names
+    type_names = [(field.name, type_name(field.dataType)) for field in schema]
     rows = read_rows_dir(spark, path)
     columns = F.array(
         *[
             F.struct(
                 F.lit(position).alias("position"),
                 F.lit(name).alias("name"),
-                F.lit(type_name).alias("type"),
+                F.lit(kind).alias("type"),
                 rows[name].isNotNull().alias("is_filled"),
             )
-            for position, (name, type_name) in enumerate(type_names)
+            for position, (name, kind) in enumerate(type_names)
         ]
     )
     return (
@@ -245,6 +244,11 @@ def add_edges_unchecked(spark: SparkSession, folder: str) -> DataFrame:
     return extended(spark, folder, check=False).edges.select("src", "dst", "weight")
 
 
+def add_edges_default_weight(spark: SparkSession, folder: str) -> DataFrame:
+    graph = graph_from_edges(building_trade(spark, folder), directed=True, name="trade")
+    return add_edges(graph, tables.trade(spark, folder).drop("weight"), check=True).edges.select("src", "dst", "weight")
+
+
 def add_vertices_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     return vertex_ids(add_vertices(graph_of(spark, folder, "trade"), traders(spark, folder).select("id")))
 
@@ -356,15 +360,19 @@ def export_vertices_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 def export_file_size(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "export")
-    result = write_vertices_csv(trade_with_properties(spark, folder), path, ["balance", "segment"])
+    result = write_vertices_dir(trade_with_properties(spark, folder), path, ["segment"])
     return spark.createDataFrame(
         [(result.number_of_lines, result.file_size)], "number_of_lines bigint, file_size bigint"
     )
 
 
 def export_vertices_dir(spark: SparkSession, folder: str) -> DataFrame:
+    """Export with NULL texts and NULL numbers, read back."""
     path = scratch_path(spark, "export")
-    write_vertices_dir(trade_with_properties(spark, folder), path, ["segment", "balance"])
+    graph = trade_with_properties(spark, folder)
+    in_credit = F.when(F.col("balance") >= 0, F.col("balance"))
+    graph = graph.with_vertices(graph.vertices.withColumn("balance", in_credit))
+    write_vertices_dir(graph, path, ["segment", "balance"])
     return read_rows_dir(spark, path)
 
 
@@ -439,6 +447,15 @@ def split_and_merge(spark: SparkSession, folder: str) -> DataFrame:
     return whole_graph(read_graph(spark, *paths))
 
 
+def merge_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files of one graph, each with another property of the vertices."""
+    graph, known = graph_of(spark, folder, "trade"), traders(spark, folder)
+    paths = [scratch_path(spark, "part") for _ in range(2)]
+    for path, column in zip(paths, ("segment", "balance")):
+        write_graph(with_property(graph, known, column), path)
+    return read_graph(spark, *paths).vertices.select("id", "segment", "balance")
+
+
 # --- end to end ---------------------------------------------------------------
 
 
@@ -508,6 +525,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "add_edges_checked": add_edges_checked,
         "add_edges_checked_vertices": add_edges_checked_vertices,
         "add_edges_unchecked": add_edges_unchecked,
+        "add_edges_default_weight": add_edges_default_weight,
         "add_vertices_idempotent": add_vertices_idempotent,
         "clear_vertices_cascade": clear_vertices_cascade,
         "clear_edges": clear_all_edges,
@@ -536,6 +554,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "named_graph_counts": named_graph_counts,
         "copy_graph": copied_graph,
         "split_and_merge": split_and_merge,
+        "merge_properties": merge_properties,
         "rank_cluster_export": rank_cluster_export,
         "cluster_files": clustered_files,
         "label_propagation_parquet": label_propagation_parquet,

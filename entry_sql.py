@@ -173,7 +173,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(DISTINCT cluster) AS number_of_clusters FROM clustered""",
         "export_vertices_csv": f"""SELECT id AS name, balance, segment, count(*) OVER () AS number_of_lines
             FROM ({VERTEX_TABLE})""",
-        "export_vertices_dir": f"""SELECT id AS name, coalesce(segment, '') AS segment, balance FROM ({VERTEX_TABLE})""",
+        "export_vertices_dir": f"""SELECT id AS name, segment, CASE WHEN balance >= 0 THEN balance END AS balance
+            FROM ({VERTEX_TABLE})""",
+        "export_file_size": f"""SELECT count(*) AS number_of_lines,
+                sum(strlen(id) + 2 + 1 + coalesce(strlen(segment) + 2, 0) + 1)::BIGINT AS file_size
+            FROM ({VERTEX_TABLE})""",
+        "merge_properties": VERTEX_TABLE,
+        "add_edges_default_weight": f"""SELECT src, dst, weight FROM ({BUILDING})
+            UNION ALL SELECT src, dst, 1.0::DOUBLE FROM ({TRADE})""",
         "graphson_roundtrip": _whole_graph(TRADE),
         "graphson_hubs": _whole_graph(USER_ACTIONS),
         "adjacency": NEIGHBOURS,

@@ -110,11 +110,26 @@ def test_with_property_replaces_and_keeps_all(spark, make_graph):
     assert {r["id"]: r["n"] for r in twice.vertices.collect()} == {"a": 5, "b": None}
 
 
-def test_merge_prefers_filled_rows(spark):
+def test_merge_keeps_every_property(spark):
     rows = spark.createDataFrame(
-        [("a", "v", None, "z"), ("a", "v", 1, "y"), ("b", "v", None, None)], "id string, label string, n int, t string"
+        [("a", "v", None, "z"), ("a", "v", 1, None), ("b", "v", None, None)], "id string, label string, n int, t string"
     )
-    assert sorted(tuple(r) for r in merge_vertices(rows).collect()) == [("a", "v", 1, "y"), ("b", "v", None, None)]
+    assert sorted(tuple(r) for r in merge_vertices(rows).collect()) == [("a", "v", 1, "z"), ("b", "v", None, None)]
+
+
+def test_write_back_of_several_values_keeps_one_vertex(spark, make_graph):
+    values = spark.createDataFrame([("a", 1), ("a", 3), ("a", None)], "id string, n int")
+    graph = with_property(make_graph([("a", "b")]), values, "n")
+    assert sorted(tuple(r) for r in graph.vertices.select("id", "n").collect()) == [("a", 3), ("b", None)]
+
+
+@pytest.mark.parametrize("check", [True, False])
+def test_added_edges_weigh_one_and_have_both_ends(spark, make_graph, check):
+    edges = spark.createDataFrame([("a", "b"), ("a", None), (None, "b")], "src string, dst string")
+    graph = add_edges(make_graph([("a", "b")]), edges, check=check)
+    assert [tuple(r) for r in graph.edges.select("src", "dst", "weight").collect()] == [("a", "b", 1.0)] * 2
+    assert graph.vertices.count() == 2
+    assert graph_from_edges(edges, directed=True).vertices.count() == 2
 
 
 def test_select(spark, make_graph):
@@ -146,8 +161,6 @@ def test_partition_sizing(spark):
 
 
 def test_broadcast_bounds(spark, monkeypatch):
-    assert runtime.broadcast_rows(0) == runtime.BROADCAST_ROWS
-    assert runtime.broadcast_rows(10**6) == 134
     ids = spark.range(20).select(F.col("id").cast("string").alias("id"))
     assert runtime.fits_broadcast(ids)
     monkeypatch.setattr(runtime, "BROADCAST_BYTES", 29)

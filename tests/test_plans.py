@@ -108,10 +108,10 @@ def test_scan_of_a_stored_graph_is_pruned_and_filtered(spark, tmp_path, make_gra
     assert "EqualTo(label,g-V)" in plan
 
 
-def test_csv_scan_reads_chosen_columns(spark, tmp_path):
+def test_csv_scan_reads_chosen_columns_and_what_the_check_needs(spark, tmp_path):
     (tmp_path / "e.csv").write_text("src,dst,weight,more,and_more\na,b,1,x,y\n")
     plan = plan_of(read_edges_csv(spark, str(tmp_path / "e.csv"), "src", "dst"))
-    assert "ReadSchema: struct<src:string,dst:string>" in plan
+    assert "ReadSchema: struct<src:string,dst:string,_row:string>" in plan
 
 
 def test_sources_are_read_once(spark, tmp_path, make_graph):

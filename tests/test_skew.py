@@ -90,3 +90,20 @@ def test_large_graph_path_without_broadcast_of_names(make_graph, monkeypatch):
     monkeypatch.setattr(runtime, "BROADCAST_ROWS", 5)
     found = peer_pressure(graph, "c", max_iter=4, edges_per_hub=10)
     assert {r["id"]: r["c"] for r in found.graph.vertices.collect()} == expected
+
+
+def test_a_long_id_leaves_hubs_spread(spark, make_graph, monkeypatch):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 1_000)
+    pairs = [("hub", f"v{i}") for i in range(3_000)] + [("x" * 1_000_000, "v0")]
+    with laid_out(make_graph(pairs), F.lit(1.0), edges_per_hub=100) as layout:
+        assert layout.hub_size == 100
+        assert layout.hub_edges.count() == 3_000
+        assert layout.edges.count() == 1
+
+
+def test_unknown_ends_raise(spark, make_graph):
+    graph = make_graph([("a", "b")])
+    loose = graph.with_vertices(graph.vertices.where("id = 'a'"))
+    with pytest.raises(ValueError, match="ends"):
+        with laid_out(loose, F.lit(1.0)):
+            pass

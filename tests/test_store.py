@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vertexloom import runtime
 from vertexloom.operators import clear_edges, split_graph, with_property
 from vertexloom.plans import label_propagation
-from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settled, write_graph
+from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settled, store, write_graph
 
 
 def pairs_of(graph):
@@ -98,10 +98,45 @@ def test_append_endpoints_only(spark, tmp_path, make_graph):
 @pytest.mark.parametrize("file_format", ["graphson", "parquet"])
 def test_same_input_and_output_is_refused(spark, tmp_path, file_format):
     path = str(tmp_path / "g")
-    with pytest.raises(ValueError, match="equals input"):
+    with pytest.raises(ValueError, match="output path"):
         label_propagation(spark, path, path + "/", "c", file_format=file_format)
 
 
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="xml"):
         label_propagation(spark, str(tmp_path / "a"), str(tmp_path / "b"), "c", file_format="xml")
+
+
+def test_conflicting_append_leaves_the_graph(spark, make_graph, tmp_path):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+    other = make_graph([("b", "c")])
+    other = other.with_edges(other.edges.withColumn("weight", F.col("weight").cast("string")))
+    with pytest.raises(ValueError, match="weight is double"):
+        save_graph(other, root, "g", overwrite=False)
+    assert load_graph(spark, root, "g").edges.count() == 1
+
+
+def test_append_cut_short_leaves_the_graph(spark, make_graph, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_write_manifest", fail)
+        with pytest.raises(OSError):
+            save_graph(make_graph([("b", "c")]), root, "g", overwrite=False)
+    assert load_graph(spark, root, "g").edges.count() == 1
+    counts = save_graph(make_graph([("b", "c")]), root, "g", overwrite=False)
+    assert (counts.number_of_vertices, counts.number_of_edges) == (3, 2)
+
+
+def test_loading_runs_no_job(spark, make_graph, tmp_path):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+    status = spark.sparkContext.statusTracker()
+    before = max(status.getJobIdsForGroup(None), default=-1)
+    load_graph(spark, root, "g")
+    assert max(status.getJobIdsForGroup(None), default=-1) == before

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vertexloom.graph import VERTEX_COLUMNS, Graph, labels_of, property_column
+from vertexloom import runtime
+from vertexloom.graph import Graph, labels_of, property_column
 from vertexloom.operators.lookup import attach
-from vertexloom.runtime import broadcast_rows, fits_broadcast
+from vertexloom.runtime import broadcastable_id, fits_broadcast
 
 
 def project_edges(
@@ -53,15 +54,22 @@ def endpoints(edges: DataFrame) -> DataFrame:
 
 
 def graph_from_edges(edges: DataFrame, *, directed: bool, name: str | None = None) -> Graph:
-    """Graph whose vertices are the endpoints of ``edges`` (``src``, ``dst``, properties)."""
+    """Graph whose vertices are the endpoints of ``edges`` (``src``, ``dst``, properties).
+
+    An edge without one of its ends creates nothing.
+    """
     vertex_label, edge_label = labels_of(name)
-    edges = edges.withColumns({"src": F.col("src").cast("string"), "dst": F.col("dst").cast("string")})
+    edges = _with_ends(edges.withColumns({"src": F.col("src").cast("string"), "dst": F.col("dst").cast("string")}))
     vertices = endpoints(edges).withColumn("label", F.lit(vertex_label))
     if not directed:
         edges = both_directions(edges)
     return Graph(vertices, edges.withColumn("label", F.lit(edge_label)), name)
 
 
+def _with_ends(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
 def relabel(graph: Graph) -> Graph:
     """Give all vertices and edges the labels that follow from the graph's name."""
     vertex_label, edge_label = labels_of(graph.name)
@@ -93,8 +101,14 @@ def add_edges(graph: Graph, edges: DataFrame, *, check: bool) -> Graph:
     """Append edges (``src``, ``dst``, properties).
 
     With ``check`` missing endpoints are created first; without it an edge with
-    a missing endpoint is not added.
+    a missing endpoint is not added. Edges whose end is NULL are never added. In
+    a graph with weights, an added edge without one weighs 1.0.
     """
+    edges = _with_ends(edges)
+    if "weight" in graph.edges.columns:
+        weight = F.col("weight") if "weight" in edges.columns else F.lit(None)
+        kind = graph.edges.schema["weight"].dataType
+        edges = edges.withColumn("weight", F.coalesce(weight, F.lit(1.0).cast(kind)))
     if check:
         graph = add_vertices(graph, endpoints(edges))
     else:
@@ -135,8 +149,8 @@ def _by_id(edges: DataFrame, end: str, how: str, ids: DataFrame, small: bool) ->
     # many ids: a shuffle join, with the ends of very many edges answered by broadcast
     uses = edges.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n"))
     total = uses.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    longest = ids.agg(F.max(F.octet_length("id")).alias("bytes")).first()["bytes"]
-    hot = ids.join(uses.where(F.col("n") > total // broadcast_rows(longest)), "id")
+    frequent = uses.where((F.col("n") > total // max(1, runtime.BROADCAST_ROWS)) & broadcastable_id())
+    hot = ids.join(frequent, "id")
     listed = attach(
         edges,
         end,
@@ -163,21 +177,32 @@ def clear_vertices(graph: Graph, condition: Column | None = None) -> Graph:
 
 
 def with_property(graph: Graph, values: DataFrame, column: str) -> Graph:
-    """Write ``values`` (``id``, ``column``) onto the vertices; all vertices stay."""
+    """Write ``values`` (``id``, ``column``) onto the vertices; all vertices stay.
+
+    Of several values for an id the largest counts (any, where a type has no order).
+    """
     kept = graph.vertices.drop(column)
-    return graph.with_vertices(kept.join(values.select("id", column), "id", "left"))
+    one = values.groupBy("id").agg(_one_of(values, column).alias(column))
+    return graph.with_vertices(kept.join(one, "id", "left"))
+
+
+def _one_of(rows: DataFrame, column: str) -> Column:
+    """Aggregate that picks one non-NULL value: the largest if the type has an order."""
+    kind = rows.schema[column].dataType.simpleString()
+    name = F.col(f"`{column}`")
+    return F.first(name, ignorenulls=True) if "map<" in kind or "variant" in kind else F.max(name)
 
 
 def merge_vertices(vertices: DataFrame) -> DataFrame:
-    """One row per id from rows that may repeat it, the most filled-in one."""
+    """One row per id from rows that may repeat it.
+
+    Each property is taken on its own: the value that some row has, the largest if
+    rows differ.
+    """
     others = [c for c in vertices.columns if c != "id"]
-    filled = sum(
-        (F.col(f"`{c}`").isNotNull().cast("int") for c in others if c not in VERTEX_COLUMNS), F.lit(0)
-    )
-    best = vertices.groupBy("id").agg(
-        F.max(F.struct(filled.alias("_filled"), *[F.col(f"`{c}`") for c in others])).alias("_best")
-    )
-    return best.select("id", *[F.col(f"_best.`{c}`").alias(c) for c in others])
+    if not others:
+        return vertices.distinct()
+    return vertices.groupBy("id").agg(*[_one_of(vertices, c).alias(c) for c in others])
 
 
 def split_graph(graph: Graph, conditions: Sequence[Column]) -> list[Graph]:

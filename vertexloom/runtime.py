@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_PARTITION = 2_000_000
@@ -68,13 +68,13 @@ def drop_checkpoint(df: DataFrame) -> None:
         delete_path(df.sparkSession, stored.get())
 
 
-def partitions_for(spark: SparkSession, rows: int) -> int:
-    """Shuffle width for ``rows`` rows: few tasks for little data, bounded for much.
+def partitions_for(spark: SparkSession, rows: int, max_partitions: int = MAX_PARTITIONS) -> int:
+    """Shuffle width for ``rows`` rows: few tasks for little data, at most ``max_partitions`` for much.
 
     At least two, because Spark plans single partitions differently.
     """
     small = min(spark.sparkContext.defaultParallelism, ceil(rows / SMALL_ROWS_PER_PARTITION))
-    return max(2, small, min(MAX_PARTITIONS, ceil(rows / ROWS_PER_PARTITION)))
+    return max(2, small, min(max_partitions, ceil(rows / ROWS_PER_PARTITION)))
 
 
 @contextmanager
@@ -84,7 +84,8 @@ def planning(spark: SparkSession, *, partitions: int, adaptive: bool | None = No
     Iterative jobs lay out their tables once and rely on that layout in every
     round, so all of their plans must have the same width. In the rounds
     themselves ``adaptive`` planning is off: there is no shuffle it may regroup,
-    and frames checkpointed under it forget their partitioning.
+    and frames checkpointed under it forget their partitioning. The settings are
+    those of the session: while the block runs, other threads must not plan on it.
     """
     wanted = {"spark.sql.shuffle.partitions": str(partitions)}
     if adaptive is not None:
@@ -99,16 +100,20 @@ def planning(spark: SparkSession, *, partitions: int, adaptive: bool | None = No
             spark.conf.set(key, value)
 
 
-def broadcast_rows(longest_id: int) -> int:
-    """How many rows with ids of up to ``longest_id`` bytes may be broadcast."""
-    return max(1, min(BROADCAST_ROWS, BROADCAST_BYTES // max(1, longest_id)))
+def broadcastable_id() -> Column:
+    """Whether an ``id`` is short enough that ``BROADCAST_ROWS`` of them may be broadcast.
+
+    Longer ids take the shuffle one by one, so that a single long id changes nothing for the others.
+    """
+    return F.octet_length("id") <= BROADCAST_BYTES // max(1, BROADCAST_ROWS)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df``, keyed by ``id``, is small enough to broadcast."""
     size = (
-        df.limit(BROADCAST_ROWS + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0)).alias("bytes"))
+        df.select(F.octet_length("id").alias("bytes"))
+        .limit(BROADCAST_ROWS + 1)
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
         .first()
     )
     return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
@@ -142,6 +147,22 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    fs, hadoop_path = _filesystem(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def read_small_text(spark: SparkSession, path: str) -> str:
+    """Content of one small metadata file."""
+    fs, hadoop_path = _filesystem(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small metadata file, replacing it if it is there."""
     fs, hadoop_path = _filesystem(spark, path)
@@ -153,6 +174,18 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def refuse_same_path(spark: SparkSession, source: str, target: str) -> None:
-    """Stop before a job deletes the files it is about to read."""
-    if qualified(spark, source).rstrip("/") == qualified(spark, target).rstrip("/"):
-        raise ValueError(f"output path equals input path: {target}")
+    """Stop before a job deletes the files it is about to read: equal paths, or one inside the other."""
+    read, written = (qualified(spark, path).rstrip("/") + "/" for path in (source, target))
+    if read.startswith(written) or written.startswith(read):
+        raise ValueError(f"output path {target} and input path {source} are the same or one holds the other")
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of ``target``; what was there goes once the new one stands."""
+    aside = f"{target.rstrip('/')}.old-{uuid.uuid4().hex}"
+    there = path_exists(spark, target)
+    if there:
+        rename_path(spark, target, aside)
+    rename_path(spark, staged, target)
+    if there:
+        delete_path(spark, aside)
