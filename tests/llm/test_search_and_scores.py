@@ -1,0 +1,116 @@
+"""Top-k search, the Markov model and the classifiers."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from vertexloom.llm.markov import Model, score_texts
+from vertexloom.llm.quality import ByteCnn, classify
+from vertexloom.llm.top_k import Block, _survivors, top_k
+
+
+def test_top_k_against_all_products(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(0, 1 + i % 5, 6)]) for i in range(300)]
+    rows += [(300 + i, [1.0, 2.0, 3.0, 0.0, 0.0, 0.5]) for i in range(40)]  # ties
+    rows += [(500, None), (None, [1.0] * 6), (501, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (504, [9.0]), (10, [5.0] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "0 AS score")
+    got = top_k(frame, frame.where("vec_id % 10 = 0"), k=5)
+    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for q, v in ok:
+        if q % 10 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q and len(w) == len(v))[:5]
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert top_k(frame.limit(0), frame, k=5).count() == 0
+
+
+def test_bounds_never_drop_a_vector_above_the_threshold():
+    rng = np.random.default_rng(2)
+    for trial in range(60):
+        whole = rng.integers(-50, 50, (80, 4))
+        bucket = Block(4, np.arange(80).tobytes(), whole.astype(np.int64).tobytes())
+        query = rng.normal(0, 30, 4) * (rng.random(4) < 0.6) + 1e-3
+        products = bucket.real @ query
+        threshold = float(np.sort(products)[-1 - trial % 40])
+        places = _survivors(query, float(np.linalg.norm(query)), bucket, threshold)
+        if places is not None:
+            assert set(np.flatnonzero(products >= threshold)) <= set(places.tolist())
+
+
+def test_forward_is_the_sum_over_all_paths():
+    rng = np.random.default_rng(3)
+    norm = lambda x, axis: x / x.sum(axis=axis, keepdims=True)
+    model = Model(norm(rng.random(2), 0), norm(rng.random((2, 2)), 1), norm(rng.random((5, 2)), 0))
+    sequences = [rng.integers(0, 5, n) for n in (6, 4, 4, 1)]
+    logs = model.forward(sequences)[-1]
+    for s, log in zip(sequences, logs):
+        total = 0.0
+        for path in np.ndindex(*[2] * len(s)):
+            p = model.start[path[0]] * model.emit[s[0], path[0]]
+            for t in range(1, len(s)):
+                p *= model.move[path[t - 1], path[t]] * model.emit[s[t], path[t]]
+            total += p
+        assert log == pytest.approx(math.log(total))
+    starts, moves, emissions, log = model.expected(sequences)
+    assert starts.sum() == pytest.approx(4) and moves.sum() == pytest.approx(11) and emissions.sum() == pytest.approx(15)
+    better = Model(norm(starts, 0), norm(moves, 1), norm(emissions + 1e-9, 0))
+    assert better.forward(sequences)[-1].sum() > log
+
+
+def test_scores_and_base(documents, awkward):
+    rng = random.Random(5)
+    english, german = [f"the{i}" for i in range(30)], [f"der{i}" for i in range(30)]
+    rows = list(awkward)
+    rows += [(100 + i, " ".join(rng.choices(english if i % 2 else german, k=40)), "s") for i in range(120)]
+    got = score_texts(documents(rows), states=3)
+    assert got.columns[:7] == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    words = lambda t: [*(t or "").encode().lower().split(), b"\n"]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    counts = Counter(w for i, t, _ in rows if not held(i) for w in words(t))
+    n, v = sum(counts.values()), len(counts)
+    want = [
+        (i, held(i), len(words(t)), sum(counts[w] > 0 for w in words(t)), n, sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words(t)))
+        for i, t, _ in rows
+    ]
+    found = sorted((tuple(r)[:6] for r in got.collect()), key=str)
+    for a, b in zip(found, sorted(want, key=str), strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5])
+    totals = got.where("held_out AND doc_id >= 100").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
+    assert totals["s"] > totals["b"]
+    assert got.where("score > 0 OR isnan(score)").count() == 0
+    assert score_texts(documents(rows).limit(0)).count() == 0
+
+
+def test_quality_on_held_out_rows(spark, documents, awkward):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghinorst", k=rng.randint(2, 9)))
+    rows, labels = list(awkward), [(1, 1), (None, 0), (9_999, 1), (4, None)]
+    for i in range(240):
+        text = " ".join(word() for _ in range(60))
+        good = i % 3 != 0
+        rows.append((100 + i, text if good else text.upper().replace(" ", "!! "), "s"))
+        labels.append((100 + i, int(good)))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = classify(documents(rows), marks, sample_rows=200).selectExpr("row.doc_id AS i", "quality_score AS s").collect()
+    assert len(got) == len(rows) and all(0 <= r["s"] <= 1 for r in got)
+    score = {r["i"]: r["s"] for r in got}
+    held = [(i, q) for i, q in labels if i and 100 <= i < 9_000 and zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum((score[i] >= 0.7) == bool(q) for i, q in held) >= 0.97 * len(held)
+    blank = classify(documents(rows), marks.limit(0))
+    assert blank.where("quality_score <> 0.5").count() == 0
+    assert classify(documents(rows).limit(0), marks).count() == 0
+
+
+def test_network_sees_the_end_of_a_long_text():
+    rng = random.Random(7)
+    clean = [" ".join("".join(rng.choices("abcdeinorst", k=5)) for _ in range(80)) for _ in range(40)]
+    junk = [t.replace(" ", "### ") for t in clean]
+    network = ByteCnn().fit([*clean, *junk], [1] * 40 + [0] * 40, epochs=8)
+    long = " ".join(clean * 20)
+    assert network.score(long) > network.score(long + "### " * 60_000)

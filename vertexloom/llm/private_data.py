@@ -84,24 +84,32 @@ class Bootstrap:
 
 
 def _occurrences(keyed: DataFrame) -> DataFrame:
-    """``_k1``, ``_k2``, ``start``, ``end``, ``value``, ``pattern`` and ``seed`` of identifiers behind a word."""
+    """``_k1``, ``_k2``, ``start``, ``end``, ``value``, ``pattern`` and ``seed``: seeds, and identifiers
+    apart from them, with the word before."""
 
     def overlaps(s: Column) -> Column:
         return F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
     enough = F.filter(spans_of(F.col("text"), IDENTIFIER), lambda s: F.char_length(digits(s["value"])) >= DIGITS_OF_IDENTIFIER)
-    marked = F.transform(
-        enough,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-            word_before(F.col("text"), s["start"]).alias("pattern"),
-            overlaps(s).alias("seed"),
-        ),
+    text = F.col("text")
+
+    def occurrence(start: Column, end: Column, value: Column, seed: bool) -> Column:
+        return F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            value.alias("value"),
+            word_before(text, start).alias("pattern"),
+            F.lit(seed).alias("seed"),
+        )
+
+    seeds = F.transform(
+        "base", lambda b: occurrence(b["start"], b["end"], F.substring(text, b["start"] + 1, b["end"] - b["start"]), True)
     )
-    with_digits = keyed.where(F.col("text").rlike(f"[0-9].*[0-9]|{EMAIL}"))
-    return with_digits.select("_k1", "_k2", F.explode(marked).alias("o")).select("_k1", "_k2", "o.*").where("pattern <> ''").distinct()
+    others = F.filter(enough, lambda s: ~overlaps(s))
+    marked = F.concat(seeds, F.transform(others, lambda s: occurrence(s["start"], s["end"], s["value"], False)))
+    able = keyed.where(text.rlike("[0-9].?.?[0-9]") | (F.size("base") > 0))
+    found = able.select("_k1", "_k2", F.explode(marked).alias("o")).select("_k1", "_k2", "o.*")
+    return found.where("pattern <> ''").distinct()
 
 
 def _pattern_places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
