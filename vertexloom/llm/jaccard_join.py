@@ -173,11 +173,16 @@ def frequent_tokens(read: DataFrame) -> np.ndarray:
     return np.packbits(counts.ravel() > mean + 6 * mean**0.5 + 16)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Hashes of the single tokens (even) and the pairs of tokens (odd) of a set's prefix."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the single tokens (even) and the pairs of tokens (odd) of a set's prefix, and their reach.
+
+    The reach bounds what the set has in common with another one if this is the first
+    signature that they share: the tokens from there on, and for a pair one more for each
+    class, as one common token of a class makes no signature.
+    """
     n = len(tokens)
-    if n < 2:
-        return tokens[:0]  # one token is similar to itself only, and equal sets are one class
+    if n < 2:  # one token is similar to itself only, and equal sets are one class
+        return tokens[:0], np.zeros(0, np.int64)
     least = -(-percent * n // 100)
     wanted = n - least + 1
     slot = (tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
@@ -185,9 +190,11 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
     rare = tokens[~often][:wanted]
     wanted -= len(rare)
     one = np.uint64(1)
+    alone = n - np.arange(len(rare))
     if wanted <= 0:
-        return np.unique(rare & ~one)
-    often, found = tokens[often], [rare & ~one]
+        return rare & ~one, alone
+    often, found, reach = tokens[often], [rare & ~one], [alone]
+    after_rare = n - len(rare) + max(1, (1 << (n.bit_length() - 1)) // TOKENS_PER_CLASS)
     # The number of classes goes by the smaller set of a pair, up to a power of two.
     for scale in range(least.bit_length(), n.bit_length() + 1):
         classes = max(1, (1 << (scale - 1)) // TOKENS_PER_CLASS)
@@ -197,19 +204,21 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
         end = int(np.searchsorted(np.cumsum(~first), wanted)) + 1
         order = np.argsort(of[:end], kind="stable")
         by_class, start = often[:end][order], 0
+        after = after_rare - order
         for stop in [*(np.flatnonzero(np.diff(of[:end][order])) + 1).tolist(), len(order)]:
             left, right = np.triu_indices(stop - start, 1)
             group = by_class[start:stop]
             found.append(mixed(group[left] * _ODD[13] + group[right] * _ODD[14] + np.uint64(scale)) | one)
+            reach.append(after[start:stop][left])
             start = stop
-    return np.unique(np.concatenate(found))
+    return np.concatenate(found), np.concatenate(reach)
 
 
 def _signer(size: int, frequent: np.ndarray, percent: int):
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(size), set()
         for batch in batches:
-            sigs, names = [], []
+            sigs, names, reach = [], [], []
             for text in batch["text"]:
                 tokens = shingler.tokens(text)
                 name = digest(tokens)[0]
@@ -218,10 +227,14 @@ def _signer(size: int, frequent: np.ndarray, percent: int):
                 if len(seen) >= SETS_SEEN:
                     seen.clear()
                 seen.add(name)
-                sigs.append(signatures(tokens, frequent, percent).view(np.int64))
-                names.append(np.full(len(sigs[-1]), name, np.int64))
+                own, after = signatures(tokens, frequent, percent)
+                sigs.append(own.view(np.int64))
+                reach.append(after)
+                names.append(np.full(len(own), name, np.int64))
             if sigs:
-                yield pd.DataFrame({"sig": np.concatenate(sigs), "d1": np.concatenate(names)})
+                yield pd.DataFrame(
+                    {"sig": np.concatenate(sigs), "d1": np.concatenate(names), "reach": np.concatenate(reach)}
+                )
 
     return sign
 
@@ -231,22 +244,23 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     Pairs of frequent tokens are spread over tasks, so their rows all stay.
     """
+    columns = ["sig", "d1", "reach"]
     last, kept = None, False
     for batch in batches:
-        rows = batch[["sig", "d1"]].to_numpy(np.int64)
+        rows = batch[columns].to_numpy(np.int64)
         if not len(rows):
             continue
         if last is not None:
             rows = np.vstack([last[None, :], rows])
-        rows = rows[np.append(True, (rows[1:] != rows[:-1]).any(axis=1))]
+        rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))]
         same = rows[1:, 0] == rows[:-1, 0]
         keep = np.append(same, False) | np.append(False, same) | (rows[:, 0] & 1 == 1)
         keep[0] |= kept
         # The last row waits for the next batch, which may have more of its signature.
         last, kept = rows[-1], keep[-1]
-        yield pd.DataFrame(rows[:-1][keep[:-1]], columns=["sig", "d1"])
+        yield pd.DataFrame(rows[:-1][keep[:-1]], columns=columns)
     if last is not None and kept:
-        yield pd.DataFrame(last[None, :], columns=["sig", "d1"])
+        yield pd.DataFrame(last[None, :], columns=columns)
 
 
 def _may_be_similar(percent: int):
@@ -324,7 +338,7 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"))
 
     frequent = frequent_tokens(read)
-    pair = "sig long, d1 long"
+    pair = "sig long, d1 long, reach long"
     signed = texts.select("text").mapInPandas(_signer(size, frequent, percent), pair)
     # A rare token has few sets, which meet in one task. A pair of frequent ones may have
     # very many, so those rows are spread and pass.
@@ -335,7 +349,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     nodes = stored(
         classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
     )
-    members = stored(shared.join(nodes.select("d1", "node", "n"), "d1").select("sig", "node", "n"), "members")
+    met = shared.join(nodes.select("d1", "node", "n"), "d1")
+    members = stored(met.select("sig", "node", "n", "reach"), "members")
     outlines = nodes.select("node", "outline")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -351,27 +366,54 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         met = likely.join(found.toDF("b", "right"), "b").join(found.toDF("a", "left"), "a")
         return stored(met.where(_similar(size, percent)("left", "right")).select("a", "b"), "links")
 
-    near = (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
+    # At the first signature that two sets share, their reach bounds what they have in
+    # common. Later ones may fall short of the bound; the first one of similar sets never does.
+    possible = F.least("reach", "other_reach") * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent
     order = F.xxhash64(F.pmod("sig", F.lit(PIVOT_ORDERS)), "node")
-    pivots = members.groupBy("sig").agg(F.min(F.struct(order.alias("o"), "node", "n")).alias("p"))
-    stars = members.join(
-        pivots.select("sig", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), "sig"
-    ).where((F.col("node") != F.col("pivot")) & near)
-    tried = stored(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    smallest = F.min(F.struct("n", order.alias("o"), "node", "reach")).alias("low")
+    any_one = F.min(F.struct(order.alias("o"), "node", "n", "reach")).alias("any")
+    both = F.array(F.struct("low.node", "low.n", "low.reach"), F.struct("any.node", "any.n", "any.reach"))
+    pivots = members.groupBy("sig").agg(smallest, any_one).select("sig", F.explode(F.array_distinct(both)).alias("p"))
+    pivots = pivots.select(
+        "sig", F.col("p.node").alias("other"), F.col("p.n").alias("other_n"), F.col("p.reach").alias("other_reach")
+    )
+    stars = members.join(pivots, "sig").where((F.col("node") != F.col("other")) & possible)
+    pair_of = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+    tried = stored(stars.select(*pair_of).distinct(), "pairs")
     links = linked(tried)
     label = connected(nodes, links)
 
+    # Signatures whose sets are not all connected; of those with the same sets the first,
+    # which has the largest reach for each of them.
     placed = members.join(label, "node")
-    open_sigs = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    open_sigs = (
+        placed.groupBy("sig")
+        .agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+            F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"),
+            F.count(F.lit(1)).alias("size"),
+            F.sum("reach").alias("reach"),
+        )
+        .where("low < high")
+        .groupBy("x", "y", "size")
+        .agg(F.max_by("sig", "reach").alias("sig"))
+    )
     left = stored(placed.join(open_sigs.select("sig"), "sig"), "open-members")
-    other = left.select("sig", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("n").alias("pivot_n"))
+    other = left.select(
+        "sig",
+        F.col("node").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("n").alias("other_n"),
+        F.col("reach").alias("other_reach"),
+    )
     rest = (
         left.join(other, "sig")
-        .where((F.col("label") < F.col("b_label")) & near)
-        .select(F.col("node").alias("a"), "b")
+        .where((F.col("label") < F.col("other_label")) & possible)
+        .select(*pair_of)
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
-        .join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
     )
     label = connected(nodes, links.unionByName(linked(rest)))
 
