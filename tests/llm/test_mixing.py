@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from vertexloom.llm.mixing import mix, period, phases
+from vertexloom.llm.mixing import mix, period, phases, tempered_weights
 
 
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {"a": 1, "b": 1, "c": 97}, {"a": 7, "b": 6, "c": 4, "d": 1}])
@@ -56,3 +56,24 @@ def test_awkward_rows_all_get_a_place(documents, awkward):
     assert mix(frame.limit(0)).count() == 0
     with pytest.raises(ValueError):
         mix(frame, {"a": 0})
+
+
+def test_any_number_of_sources(documents):
+    sizes = {f"d{i:04d}.org": 2 + i % 3 for i in range(1_200)} | {"big": 900, "odd": 77}
+    rows = [(10_000 * k + i, f"text {k} {i}", s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    given = mix(documents(rows, extra=False), {s: 1 + n for s, n in sizes.items()}, resolution=10)
+    assert sorted(r["mix_position"] for r in given.select("mix_position").collect()) == list(range(len(rows)))
+    # without weights, each source keeps near its share of roots while all of its kind go on
+    got = mix(documents(rows, extra=False), block_docs=2).orderBy("mix_position").collect()
+    assert [r["mix_position"] for r in got] == list(range(len(rows)))
+    assert {r["doc_id"] for r in got} == {i for i, _, _ in rows}
+    total = sum(n**0.5 for n in sizes.values())
+    seen = sum(r["source"] == "big" for r in got[:900])
+    assert abs(seen - 900 * 30 / total) < 4
+    small = [r["source"] for r in got[:900] if r["source"] not in ("big", "odd")]
+    assert max(small.count(s) for s in set(small)) <= 3
+
+
+def test_small_sources_keep_their_share():
+    weights = tempered_weights({"large": 10**8, "small": 100})
+    assert abs(weights["small"] / sum(weights.values()) * 1_001 - 1) < 0.1

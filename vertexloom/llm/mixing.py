@@ -7,21 +7,37 @@ slot. Weights are whole numbers n out of N, so the schedule repeats after N slot
 slots of one period are worked out once, and the place of every block follows by
 arithmetic, without a pass over the blocks. When a source is used up, the others go on
 with their weights scaled up: a new phase with a schedule of its own.
+
+There may be any number of sources. Beyond a number of them, the ones of least weight form
+pools, each of which is one source of the schedule with the sum of its members' weights.
+Members of a pool have weights, and documents for each unit of weight, within a factor of
+two of each other, so they are used up at about the same time. Within its pool, document
+k of a source with weight w stands at the time (k-u)/w, u being a fixed fraction of the
+source; documents in the order of their times keep every member within four documents of its
+share of the pool, until the first member is used up.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vertexloom.llm.common import stored
+
 RESOLUTION = 1_000
 BLOCK_DOCS = 8
 ROWS_PER_BUCKET = 4_000
 BROADCAST_SLOTS = 200_000
+#: Largest sources that stand for themselves where weights follow from the sizes and there are more.
+SINGLE_SOURCES = 64
+SLOTS_OF_SMALLEST = 8
+#: Roots are whole numbers of so many parts, so that their sums do not depend on the order.
+ROOT_PARTS = 10**6
 
 
 def period(weights: Mapping[str, int]) -> dict[str, list[int]]:
@@ -70,9 +86,18 @@ def phases(weights: Mapping[str, int], docs: Mapping[str, int], block_docs: int)
 
 def tempered_weights(docs: Mapping[str, int], resolution: int = RESOLUTION) -> dict[str, int]:
     """Weights by the square root of a source's size: large sources below, small ones above their share."""
-    roots = {s: max(1, int(n**0.5)) for s, n in docs.items() if n}
+    return _whole({s: math.isqrt(n * ROOT_PARTS**2) for s, n in docs.items() if n}, resolution)
+
+
+def _whole(roots: Mapping[str, int], resolution: int) -> dict[str, int]:
+    """Weights in the ratio of ``roots``; the period is so long that the smallest has some slots, as
+    far as the slots of all phases can be broadcast."""
+    if not roots:
+        return {}
     total = sum(roots.values())
-    return {s: max(1, resolution * r // total) for s, r in roots.items()}
+    fine = -(-SLOTS_OF_SMALLEST * total // min(roots.values()))
+    slots = max(resolution, min(fine, BROADCAST_SLOTS // len(roots)))
+    return {s: max(1, (2 * slots * r + total) // (2 * total)) for s, r in roots.items()}
 
 
 def mix(
@@ -86,30 +111,32 @@ def mix(
     """``docs`` with ``mix_position`` (from 0), ``mix_phase``, ``mix_slot`` and ``mix_block`` (from 1).
 
     Every row gets a place; nothing is repeated or left out. ``weights`` gives whole
-    numbers by source; without it they follow from the sizes (``tempered_weights``). Rows
-    whose source has no weight form one more source of weight 1, and so do rows without a
-    source. Within a source, rows stand in the order of a hash of id and text, and equal
-    rows in any order. A recipe has at most ``resolution`` sources (ValueError beyond, as
-    shares could not be told apart). Columns named like the four new ones are replaced.
+    numbers by source; without it they follow from the sizes (``tempered_weights``), in a
+    period of at least ``resolution`` slots. Rows whose source has no weight form one more
+    source of weight 1, and so do rows without a source. Within a source, rows stand in the
+    order of a hash of id and text, and equal rows in any order. Where more than
+    ``resolution`` weights are given, or there are more than ``SINGLE_SOURCES`` sources
+    without given weights, the sources of least weight form pools; ``mix_block`` then counts
+    the blocks of the pool. Columns named like the four new ones are replaced.
     ``in_order`` also writes the rows out in the order of ``mix_position``.
     """
     spark = docs.sparkSession
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     name = source
+    most = SINGLE_SOURCES
     if weights is not None:
-        if len(weights) > resolution or any(int(n) != n or n < 1 for n in weights.values()):
-            raise ValueError(f"weights are whole numbers of at least 1 for at most {resolution} sources")
-        weights = {"": 1, **weights}
+        if any(int(n) != n or n < 1 for n in weights.values()):
+            raise ValueError("weights are whole numbers of at least 1")
+        weights, most = {"": 1, **weights}, resolution + 1
         name = F.when(source.isin(list(weights)), source).otherwise("")
-    by_source = docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["s"]: r["n"] for r in by_source.limit(resolution + 2).collect()}
-    if weights is None:
-        if len(sizes) > resolution:
-            raise ValueError(f"more than {resolution} sources: name those to mix, or raise the resolution")
-        weights = tempered_weights(sizes, resolution)
-
     row = docs.drop("mix_position", "mix_phase", "mix_slot", "mix_block")
-    ranked = _ranked(row, name, sizes)
+    by_source = docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["s"]: r["n"] for r in by_source.limit(most + 1).collect()}
+    if len(sizes) > most:
+        ranked, sizes, weights = _pooled(row, name, by_source, weights, most, resolution)
+    else:
+        weights = tempered_weights(sizes, resolution) if weights is None else weights
+        ranked = _ranked(row, name, sizes)
     block = F.floor((F.col("rank") - 1) / block_docs) + 1
     offset = (F.col("rank") - 1) % block_docs
     plan = phases(weights, sizes, block_docs)
@@ -146,29 +173,80 @@ def mix(
 
 
 def _ranked(docs: DataFrame, name: Column, sizes: Mapping[str, int]) -> DataFrame:
-    """``row``, ``s`` and its 1-based ``rank`` within the source, without a task per source.
-
-    A source is cut into buckets along the hash that orders it, a bucket for every so many
-    rows; ranks within the buckets go up by the sizes of the buckets before.
-    """
+    """``row``, ``s`` and its 1-based ``rank`` within the source, without a task per source."""
     spark = docs.sparkSession
     hashed = docs.select(F.struct("*").alias("row"), name.alias("s"), *_order_key())
-    counts = spark.createDataFrame([(s, max(1, n // ROWS_PER_BUCKET)) for s, n in sizes.items()], "s string, n int")
-    cut = F.floor((F.col("o1") / F.lit(2.0**64) + 0.5) * F.col("n")).cast("int")
-    bucketed = hashed.join(F.broadcast(counts), "s").select(
-        "row", "s", "o1", "o2", F.greatest(F.lit(0), F.least(cut, F.col("n") - 1)).alias("bucket")
-    )
+    known = spark.createDataFrame(list(sizes.items()), "s string, n long")
+    return _ranks(hashed.join(F.broadcast(known), "s"), _along_hash(), "o1", "o2").select("row", "s", "rank")
+
+
+def _along_hash() -> Column:
+    return F.col("o1") / F.lit(2.0**64) + 0.5
+
+
+def _ranks(rows: DataFrame, along: Column, *order: str) -> DataFrame:
+    """``rows`` with the 1-based ``rank`` by ``order`` within their ``s``, which has ``n`` rows.
+
+    The rows of an ``s`` are cut into buckets along ``along``, which goes up with the order
+    from 0 to 1, a bucket for every so many rows; ranks within the buckets go up by the
+    sizes of the buckets before.
+    """
+    buckets = F.greatest(F.lit(1), F.floor(F.col("n") / ROWS_PER_BUCKET)).cast("int")
+    cut = F.floor(along * buckets).cast("int")
+    bucketed = rows.withColumn("bucket", F.greatest(F.lit(0), F.least(cut, buckets - 1)))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
         bucketed.groupBy("s", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("s", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+        .agg(F.count(F.lit(1)).alias("in_bucket"))
+        .select("s", "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("first"))
+    )
+    inside = F.row_number().over(Window.partitionBy("s", "bucket").orderBy(*order))
+    return (
+        bucketed.withColumn("inside", inside)
+        .join(firsts, ["s", "bucket"])
+        .withColumn("rank", F.col("first") + F.col("inside"))
+        .drop("bucket", "inside", "first")
+    )
+
+
+def _pooled(
+    docs: DataFrame, name: Column, by_source: DataFrame, weights: Mapping[str, int] | None, single: int, resolution: int
+) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """As ``_ranked``, for any number of sources: ``s`` is a source of the largest weights or a pool of
+    others. With it, the documents and the weight of each ``s``."""
+    spark = docs.sparkSession
+    if weights is None:
+        sized = by_source.withColumn("w", F.floor(F.sqrt("n") * ROOT_PARTS).cast("long"))
+    else:
+        sized = by_source.join(spark.createDataFrame(list(weights.items()), "s string, w long"), "s")
+    sized = stored(sized, "sources")
+    largest = [r["s"] for r in sized.orderBy(F.desc("w"), "s").limit(single).select("s").collect()]
+    alone = F.broadcast(spark.createDataFrame([(s,) for s in largest], "s string"))
+    factor = lambda x: F.floor(F.log2(x)).cast("string")
+    pool = F.concat_ws("/", F.lit("pool"), factor(F.col("w")), factor(F.col("n") / F.col("w")))
+    heads = sized.join(alone, "s").withColumn("g", F.concat(F.lit("source/"), "s"))
+    members = stored(sized.join(alone, "s", "left_anti").withColumn("g", pool), "pooled-sources")
+    totals = (
+        heads.unionByName(members)
+        .groupBy("g")
+        .agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.col("n") / F.col("w")).alias("longest"))
+        .collect()
     )
-    inside = F.row_number().over(Window.partitionBy("s", "bucket").orderBy("o1", "o2"))
-    return bucketed.withColumn("inside", inside).join(firsts, ["s", "bucket"]).select(
-        "row", "s", (F.col("first") + F.col("inside")).alias("rank")
+    pools = spark.createDataFrame(
+        [(r["g"], r["n"], r["longest"]) for r in totals], "g string, in_pool long, longest double"
     )
 
+    hashed = docs.select(F.struct("*").alias("row"), name.alias("s"), *_order_key())
+    by_head = _ranks(hashed.join(F.broadcast(heads), "s"), _along_hash(), "o1", "o2")
+    of_pools = _ranks(hashed.join(alone, "s", "left_anti").join(members, "s"), _along_hash(), "o1", "o2")
+    start = F.xxhash64("s") / F.lit(2.0**64) + 0.5
+    timed = of_pools.withColumn("time", (F.col("rank") - start) / F.col("w")).join(F.broadcast(pools), "g")
+    timed = timed.select("row", F.col("s").alias("member"), F.col("g").alias("s"), F.col("in_pool").alias("n"), "longest", "time")
+    placed = _ranks(timed, F.col("time") / F.col("longest"), "time", "member")
+    ranked = by_head.select("row", F.col("g").alias("s"), "rank").unionByName(placed.select("row", "s", "rank"))
+    found = {r["g"]: r["w"] for r in totals}
+    return ranked, {r["g"]: r["n"] for r in totals}, _whole(found, resolution) if weights is None else found
+
 
 def _order_key() -> list[Column]:
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
