@@ -104,3 +104,25 @@ def test_words_before_seeds_find_other_identifiers(documents):
     strict = find_private_data(documents(rows), Bootstrap(support=20))
     assert strict.where("exists(found, s -> s.kind = 'context')").count() == 0
     assert set(KINDS) == {kind for kind, _, _ in PRIVATE}
+
+
+def marked(documents, texts, ids=None, **how):
+    rows = [(i if ids is None else ids[i], t, "s") for i, t in enumerate(texts)]
+    found = find_private_data(documents(rows, extra=False), **how).collect()
+    return sorted((r["row"]["doc_id"], [(s["start"], s["end"]) for s in r["found"] if s["kind"] == "context"]) for r in found)
+
+
+def test_identifiers_of_any_form_and_length(documents):
+    seeds = [f"Call mobile: +49 30 12345{i:03d} now." for i in range(30)]
+    spread, short, long = "1-ABC-2-DEF-3-GHI-4", "2468", "9-" * 60 + "X"
+    others = [f"My mobile: {value} works" for value in (spread, short, long)]
+    got = dict(marked(documents, [*seeds, *others]))
+    assert [got[30 + i] for i in range(3)] == [[(11, 11 + len(v))] for v in (spread, short, long)]
+
+
+def test_rounds_go_on_until_nothing_changes(documents):
+    link = lambda k, i: f"code-{k}-{i}-0000"
+    texts = [f"w0 +49 30 12345{i:03d} end " * 8 for i in range(6)]
+    for k in range(4):
+        texts += [f"w{k} {link(k, i)} end" for i in range(5)] + [f"w{k + 1} {link(k, i)} end " * 8 for i in range(5)]
+    assert all(spans for _, spans in marked(documents, texts)[6:])

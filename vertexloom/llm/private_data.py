@@ -3,8 +3,9 @@
 What the fixed patterns find are seeds. The word before a seed is a lexical pattern; the
 identifiers that stand behind such words are instances. Patterns and instances score each
 other in rounds: a pattern is worth the share of all places of its word, in the whole
-corpus, that hold trusted instances, and an instance is worth its best pattern. Patterns
-above a high confidence in the end mark identifiers that no fixed pattern knows.
+corpus, that hold trusted instances, and an instance is worth its best pattern. Rounds go
+on until no score changes. Patterns above a high confidence in the end mark identifiers
+that no fixed pattern knows.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from pyspark.sql import functions as F
 from vertexloom.llm.common import ascii_lower, content_key, stored
 from vertexloom.llm.spans import SPAN, let, named, spans_of
 
-ROUNDS = 3
 CONFIDENCE = 0.5
 SUPPORT = 5
+#: Scores are whole numbers of so many parts: they only go up, so the rounds come to an end.
+SCORE_PARTS = 10**6
 BROADCAST_PATTERNS, BROADCAST_BYTES = 200_000, 32 * 1024 * 1024
 KINDS = ("email", "ip", "card", "phone")
 FOUND_KIND = "context"
@@ -30,8 +32,9 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IDENTIFIER = r"(?<![A-Za-z0-9#+._@/-])[A-Za-z0-9#+][A-Za-z0-9#+._@/-]{3,62}[A-Za-z0-9](?![A-Za-z0-9#+_@/-])"
+IDENTIFIER = r"(?<![A-Za-z0-9#+._@/-])[A-Za-z0-9#+][A-Za-z0-9#+._@/-]*[A-Za-z0-9](?![A-Za-z0-9#+_@/-])"
 DIGITS_OF_IDENTIFIER = 4
+ENOUGH_DIGITS = r"(?:[0-9][^0-9]*+){%d}" % DIGITS_OF_IDENTIFIER
 
 
 def digits(value: Column) -> Column:
@@ -76,9 +79,9 @@ def word_before(text: Column, start: Column) -> Column:
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """How far patterns are trusted."""
+    """How far patterns are trusted; without ``rounds``, scores go on until none changes."""
 
-    rounds: int = ROUNDS
+    rounds: int | None = None
     confidence: float = CONFIDENCE
     support: int = SUPPORT
 
@@ -107,7 +110,7 @@ def _occurrences(keyed: DataFrame) -> DataFrame:
     )
     others = F.filter(enough, lambda s: ~overlaps(s))
     marked = F.concat(seeds, F.transform(others, lambda s: occurrence(s["start"], s["end"], s["value"], False)))
-    able = keyed.where(text.rlike("[0-9].?.?[0-9]") | (F.size("base") > 0))
+    able = keyed.where(text.rlike(ENOUGH_DIGITS) | (F.size("base") > 0))
     found = able.select("_k1", "_k2", F.explode(marked).alias("o")).select("_k1", "_k2", "o.*")
     return found.where("pattern <> ''").distinct()
 
@@ -132,22 +135,25 @@ def trusted_patterns(occurrences: DataFrame, docs: DataFrame, how: Bootstrap) ->
     able = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= how.support)
     places = stored(_pattern_places(docs, able.select("pattern")), "pattern-places")
     edges = stored(edges.join(places, "pattern"), "pattern-graph")
-    trust = edges.groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(0.0)).alias("trust"))
-    scores = None
-    for _ in range(how.rounds):
-        weighed = edges.join(trust, "value")
+    scores, before, done = edges.select("pattern").limit(0).withColumn("score", F.lit(0).cast("long")), (0, 0), 0
+    while how.rounds is None or done < how.rounds:
+        known = F.when(F.col("seed"), F.lit(SCORE_PARTS)).otherwise(F.coalesce("score", F.lit(0)))
+        trust = edges.join(scores, "pattern", "left").groupBy("value").agg(F.max(known).alias("trust"))
+        worth = F.expr("(2 * sum(times * trust) + max(places)) div (2 * max(places))")
         scores = stored(
-            weighed.groupBy("pattern")
-            .agg(
-                (F.sum(F.col("times") * F.col("trust")) / F.max("places")).alias("score"),
-                F.count_if(F.col("trust") > 0).alias("support"),
-            )
-            .where((F.col("support") >= how.support) & (F.col("score") >= how.confidence)),
+            edges.join(trust, "value")
+            .groupBy("pattern")
+            .agg(worth.alias("score"), F.count_if(F.col("trust") > 0).alias("support"))
+            .where((F.col("support") >= how.support) & (F.col("score") >= round(how.confidence * SCORE_PARTS)))
+            .select("pattern", "score"),
             "pattern-scores",
         )
-        known = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
-        trust = stored(edges.join(scores, "pattern", "left").groupBy("value").agg(F.max(known).alias("trust")), "instance-trust")
-    return edges.select("pattern").limit(0).withColumn("score", F.lit(0.0)) if scores is None else scores.select("pattern", "score")
+        # Trust only goes up from round to round, so equal sums are equal scores.
+        after = tuple(scores.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0))).first())
+        if after == before:
+            break
+        before, done = after, done + 1
+    return scores
 
 
 def find_private_data(docs: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:  # noqa: B008
