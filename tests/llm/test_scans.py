@@ -126,3 +126,11 @@ def test_rounds_go_on_until_nothing_changes(documents):
     for k in range(4):
         texts += [f"w{k} {link(k, i)} end" for i in range(5)] + [f"w{k + 1} {link(k, i)} end " * 8 for i in range(5)]
     assert all(spans for _, spans in marked(documents, texts)[6:])
+
+
+def test_repeated_rows_count_once(documents):
+    seeds = [f"Call mobile: +49 30 12345{i:03d} now." for i in range(8)]
+    texts = [*seeds, "My mobile: 0171-9988-77 works."]
+    ids = [i for i in range(len(texts)) for _ in range(3)]
+    got = marked(documents, [t for t in texts for _ in range(3)], ids)
+    assert got == sorted((i, [(11, 23)] if i == 8 else []) for i in ids)

@@ -115,16 +115,26 @@ def _occurrences(keyed: DataFrame) -> DataFrame:
     return found.where("pattern <> ''").distinct()
 
 
-def _pattern_places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``pattern`` and ``places``: how often each word of ``patterns`` stands in all texts."""
+def _pattern_places(keyed: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern`` and ``places``: how often each word of ``patterns`` stands in all texts; rows of one key count once."""
+    keys = ["_k1", "_k2"]
+    copies = stored(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "copies")
+    few = copies.count() <= BROADCAST_PATTERNS
     size = patterns.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0)).alias("b")).first()
     small = size["n"] <= BROADCAST_PATTERNS and size["b"] <= BROADCAST_BYTES
-    words = docs.select(F.explode(F.split(ascii_lower(F.col("text")), "[\\x20\\x09-\\x0D]+")).alias("pattern"))
+    if few:
+        copies = F.broadcast(copies)
+        # rows without copies need no key, and add up before they move
+        marked = keyed.join(copies, keys, "left")
+        keyed = marked.select(*[F.when(F.col("copies").isNotNull(), F.col(k)).alias(k) for k in keys], "text")
+    words = keyed.select(*keys, F.explode(F.split(ascii_lower(F.col("text")), "[\\x20\\x09-\\x0D]+")).alias("pattern"))
     met = words.join(F.broadcast(patterns) if small else patterns, "pattern")
-    return met.groupBy("pattern").agg(F.count(F.lit(1)).alias("places"))
+    times = met.groupBy(*keys, "pattern").agg(F.count(F.lit(1)).alias("times"))
+    once = F.expr("times div coalesce(copies, 1)")
+    return times.join(copies, keys, "left").groupBy("pattern").agg(F.sum(once).alias("places"))
 
 
-def trusted_patterns(occurrences: DataFrame, docs: DataFrame, how: Bootstrap) -> DataFrame:
+def trusted_patterns(occurrences: DataFrame, keyed: DataFrame, how: Bootstrap) -> DataFrame:
     """``pattern`` and ``score`` of the confident patterns after the last round."""
     edges = stored(
         occurrences.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("times"), F.max("seed").alias("seed")),
@@ -133,7 +143,7 @@ def trusted_patterns(occurrences: DataFrame, docs: DataFrame, how: Bootstrap) ->
     # A pattern needs this many different trusted instances, so words before fewer
     # identifiers than that drop out before the corpus is counted.
     able = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= how.support)
-    places = stored(_pattern_places(docs, able.select("pattern")), "pattern-places")
+    places = stored(_pattern_places(keyed, able.select("pattern")), "pattern-places")
     edges = stored(edges.join(places, "pattern"), "pattern-graph")
     scores, before, done = edges.select("pattern").limit(0).withColumn("score", F.lit(0).cast("long")), (0, 0), 0
     while how.rounds is None or done < how.rounds:
@@ -170,7 +180,7 @@ def find_private_data(docs: DataFrame, how: Bootstrap = Bootstrap()) -> DataFram
     base = F.flatten(F.array(*[named(s, k, i) for i, (k, s) in enumerate(zip(KINDS, base_spans(F.col("text")), strict=True))]))
     scanned = keyed.withColumn("base", base)
     occurrences = stored(_occurrences(scanned), "identifiers")
-    confident = trusted_patterns(occurrences, keyed.select("text"), how)
+    confident = trusted_patterns(occurrences, keyed.select("_k1", "_k2", "text"), how)
     added = F.struct(
         F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit(FOUND_KIND).alias("kind")
     )
