@@ -233,3 +233,22 @@ def test_jobs_refuse_outputs_around_their_input(spark, tmp_path):
         with pytest.raises(ValueError, match="output path"):
             refuse_same_path(spark, str(source), str(target))
     refuse_same_path(spark, str(source), str(tmp_path / "in" / "edges2"))
+
+
+@pytest.mark.parametrize("line", ["1,a,b,2,surplus", "1,a"])
+def test_wrong_rows_raise_where_the_first_column_is_not_asked_for(spark, tmp_path, line):
+    path = tmp_path / "edges.csv"
+    path.write_text(f"line,src,dst,weight\n0,a,b,1\n{line}\n")
+    edges = read_edges_csv(spark, str(path), "src", "dst", "weight")
+    for frame in (edges, edges.select("dst"), edges.groupBy().count()):
+        with pytest.raises(Exception, match="wrong number of fields"):
+            frame.collect()
+    path.write_text("line,src,dst,weight\n0,a,b,1\n1,b,c\n")
+    assert rows_of(read_edges_csv(spark, str(path), "src", "dst", "weight"), "src", "dst", "weight") == [("a", "b", 1.0), ("b", "c", 1.0)]
+
+
+@pytest.mark.parametrize("line", ["2,a,b,4", "2,a"])
+def test_wrong_rows_of_a_directory_raise_without_the_first_column(spark, tmp_path, line):
+    path = edge_dir(tmp_path, f"1,a,b\n{line}\n", "n:Integer\np1:String\np2:String\n")
+    with pytest.raises(Exception, match="wrong number of fields"):
+        read_edges_dir(spark, path, "p1", "p2", keep_endpoints=False).collect()
