@@ -116,3 +116,29 @@ def test_several_edge_labels(spark, tmp_path, graph):
     write_graphson(two, str(tmp_path / "g"))
     back = read_graphson(spark, str(tmp_path / "g"))
     assert rows_of(back.edges, "src", "dst", "label") == rows_of(two.edges, "src", "dst", "label")
+
+
+def test_property_names_like_columns_or_differing_in_case(spark, tmp_path):
+    """No value is lost on read, and names come back on write."""
+
+    def value(v):
+        return [{"id": {"@type": "g:Int64", "@value": 0}, "value": v}]
+
+    on_vertex = {"id": "i", "label": "l", "Name": "big", "name": "small", "NAME": "huge"}
+    line = {
+        "id": "a",
+        "label": "v",
+        "properties": {k: value(v) for k, v in on_vertex.items()},
+        "outE": {"e": [{"id": "1", "inV": "a", "properties": {"src": "s", "Src": "S", "w": "x"}}]},
+    }
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0").write_text(json.dumps(line))
+    graph = read_graphson(spark, str(tmp_path / "in"))
+    vertex, edge = graph.vertices.first().asDict(), graph.edges.first().asDict()
+    assert (vertex["id"], vertex["label"], vertex["id__prop"], vertex["label__prop"]) == ("a", "v", "i", "l")
+    assert sorted(vertex.values()) == sorted([*on_vertex.values(), "a", "v"])
+    assert sorted(edge.values()) == sorted(["a", "a", "e", "s", "S", "x"])
+    write_graphson(graph, str(tmp_path / "out"))
+    back = json.loads(spark.read.text(str(tmp_path / "out")).first()["value"])
+    assert {k: v[0]["value"] for k, v in back["properties"].items()} == on_vertex
+    assert back["outE"]["e"][0]["properties"] == {"src": "s", "Src": "S", "w": "x"}

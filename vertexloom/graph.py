@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ EDGE_SUFFIX = "-E"
 VERTEX_COLUMNS = ("id", "label")
 EDGE_COLUMNS = ("edge_id", "src", "dst", "label")
 
-# An edge property named like one of EDGE_COLUMNS lives in a column with this suffix.
+# An edge property named like one of EDGE_COLUMNS lives in a column with this suffix; in
+# graphs read from adjacency JSON also a vertex property named like one of VERTEX_COLUMNS,
+# and a property whose name differs from another's only in case.
 PROPERTY_SUFFIX = "__prop"
 
 
@@ -67,3 +70,26 @@ def property_column(name: str) -> str:
 def property_name(column: str) -> str:
     """Inverse of :func:`property_column`."""
     return column.removesuffix(PROPERTY_SUFFIX)
+
+
+def property_columns(names: Iterable[str], fixed: Sequence[str]) -> dict[str, str]:
+    """A column for each property name; one named like a ``fixed`` or an earlier one, in any case, gets suffixes."""
+    taken, columns = set(fixed), {}
+    for name in names:
+        column = name
+        while column.lower() in taken:
+            column += PROPERTY_SUFFIX
+        taken.add(column.lower())
+        columns[name] = column
+    return columns
+
+
+def property_names(columns: Sequence[str], fixed: Sequence[str]) -> dict[str, str]:
+    """Inverse of :func:`property_columns`, by column."""
+    taken, found = {*fixed, *(c.lower() for c in columns)}, {}
+    for column in columns:
+        name = column
+        while name.endswith(PROPERTY_SUFFIX) and name.removesuffix(PROPERTY_SUFFIX).lower() in taken:
+            name = name.removesuffix(PROPERTY_SUFFIX)
+        found[column] = column if name != column and name in columns else name
+    return found
