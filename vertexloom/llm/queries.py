@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vertexloom.llm.centroids import clustered
 from vertexloom.llm.common import fold, hex_sha256, table
 from vertexloom.llm.decontaminate import contamination
 from vertexloom.llm.jaccard_join import groups
@@ -111,6 +112,13 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
 
 
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = clustered(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        F.col("row.vec_id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -123,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_top_k": op8_top_k,
         "op9_quality": op9_quality,
         "op10_jaccard_join": op10_jaccard_join,
+        "op13_centroids": op13_centroids,
     }
 
 

@@ -111,9 +111,47 @@ FROM scored
 QUALIFY rank <= 10
 """
 
+
+
+def centroids(clusters: int = 40, rounds: int = 5) -> str:
+    """The rounds one after the other; every vector meets every centroid."""
+    parts = [f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256(concat('2:', vec_id::VARCHAR))))::INTEGER - 1 AS cluster, v AS c
+    FROM v QUALIFY cluster < {clusters}
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f""", a{i} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(d := d, cluster := cluster)) AS best
+    FROM (SELECT r, vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM v CROSS JOIN c{i})
+    GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f""", c{i + 1} AS MATERIALIZED (
+    SELECT c{i}.cluster, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+        SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS c
+        FROM (SELECT best.cluster AS cluster, place, sum(x) AS s, count(*) AS n
+              FROM (SELECT best, unnest(v) AS x, unnest(range(64)) AS place FROM a{i}) GROUP BY best.cluster, place)
+        GROUP BY cluster
+    ) m USING (cluster)
+)""")
+    return "".join(parts) + f"""
+SELECT vec_id, best.cluster AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.cluster))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.cluster = best.cluster
+"""
+
+
 ORACLES = {
     "op3_secret_scan": secret_scan(),
     "op5_line_dedup": LINE_DEDUP,
     "op7_decontaminate": DECONTAMINATE,
     "op8_top_k": TOP_K,
+    "op13_centroids": centroids(),
 }
