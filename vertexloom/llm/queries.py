@@ -14,6 +14,7 @@ from vertexloom.llm.jaccard_join import groups
 from vertexloom.llm.line_dedup import dedup_lines
 from vertexloom.llm.markov import score_texts
 from vertexloom.llm.mixing import mix
+from vertexloom.llm.packing import packed, pieces
 from vertexloom.llm.page_text import extract
 from vertexloom.llm.private_data import KINDS, find_private_data
 from vertexloom.llm.quality import THRESHOLD, classify
@@ -112,6 +113,14 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
 
 
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed(cut.select(F.col("row.doc_id").alias("doc_id"), "piece", "start", "length", "ids_crc32"))
+
+
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     found = clustered(table(spark, folder, "embeddings").select("vec_id", "embedding"))
     return found.select(
@@ -131,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_top_k": op8_top_k,
         "op9_quality": op9_quality,
         "op10_jaccard_join": op10_jaccard_join,
+        "op12_best_fit_packing": op12_best_fit_packing,
         "op13_centroids": op13_centroids,
     }
 
