@@ -19,7 +19,7 @@ def test_query(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.queries()}
     assert {*queries.queries(), "pipeline"} <= set(entry.queries())
 
 

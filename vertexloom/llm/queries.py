@@ -16,6 +16,7 @@ from vertexloom.llm.markov import score_texts
 from vertexloom.llm.mixing import mix
 from vertexloom.llm.packing import packed, pieces
 from vertexloom.llm.page_text import extract
+from vertexloom.llm.prefix_trie import prefix_trie
 from vertexloom.llm.private_data import KINDS, find_private_data
 from vertexloom.llm.quality import THRESHOLD, classify
 from vertexloom.llm.queries_sql import ORACLES
@@ -113,6 +114,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"), rebuild=True)
+
+
 def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_top_k": op8_top_k,
         "op9_quality": op9_quality,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_best_fit_packing": op12_best_fit_packing,
         "op13_centroids": op13_centroids,
     }

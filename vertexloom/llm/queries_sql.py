@@ -112,6 +112,40 @@ QUALIFY rank <= 10
 """
 
 
+# crc32 of the decimal number, bit by bit
+CRC = """xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: xor(s >> 1, 3988292384::UBIGINT * (s & 1)))
+), 4294967295::UBIGINT)"""
+
+PREFIX_TRIE = f"""
+WITH c AS (
+    SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns,
+           conv_id - conv_id % 5 AS base, ({CRC} % 9)::BIGINT AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS seq
+    FROM c LEFT JOIN c b ON b.conv_id = c.base
+), prefixes AS (
+    SELECT conv_id, d, seq[1:d] AS path, len(seq) = d AS ends FROM rebuilt, unnest(range(0, len(seq) + 1)) AS t(d)
+), nodes AS MATERIALIZED (
+    SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY path
+), children AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), figures AS (
+    SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+           (n_convs - 1) * coalesce(strlen(path[-1].text), 0) AS saved
+    FROM nodes LEFT JOIN children USING (path)
+), below AS (
+    SELECT path[1:d] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM figures, unnest(range(0, depth + 1)) AS t(d) GROUP BY 1
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM figures f JOIN below USING (path) LEFT JOIN nodes p ON f.depth > 0 AND p.path = f.path[1:f.depth - 1]
+"""
+
 
 def centroids(clusters: int = 40, rounds: int = 5) -> str:
     """The rounds one after the other; every vector meets every centroid."""
@@ -153,5 +187,6 @@ ORACLES = {
     "op5_line_dedup": LINE_DEDUP,
     "op7_decontaminate": DECONTAMINATE,
     "op8_top_k": TOP_K,
+    "op11_prefix_trie": PREFIX_TRIE,
     "op13_centroids": centroids(),
 }
