@@ -39,7 +39,7 @@ from vertexloom.operators import (  # noqa: E402
 )
 from vertexloom.plans import cluster_files, label_propagation, maintain, rank_and_cluster  # noqa: E402
 from vertexloom.plans import table_graphs as tables  # noqa: E402
-from vertexloom.runtime import scratch_path, use_local_scratch  # noqa: E402
+from vertexloom.runtime import checkpoint, scratch_path, use_local_scratch  # noqa: E402
 from vertexloom.sources import (  # noqa: E402
     copy_graph,
     infer_schema,
@@ -177,6 +177,21 @@ def edges_default_weight(spark: SparkSession, folder: str) -> DataFrame:
     return read_edges_csv(spark, path, "buyer", "seller", "price")
 
 
+def edges_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with quotes and line breaks, written and read back by many tasks."""
+    path = scratch_path(spark, "edges")
+    rows = order_lines(spark, folder).join(tables.table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows.select(
+        F.format_string('%s\n"%s",\n', "c_name", "c_mktsegment").alias("buyer"),
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("seller"),
+        F.col("l_extendedprice").alias("price"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    edges = read_edges_csv(spark, path, "buyer", "seller", "price", multiline=True)
+    return edges.groupBy("src").agg(
+        F.count(F.lit(1)).alias("edges"), F.count_distinct("dst").alias("sellers"), F.max("weight").alias("largest")
+    )
+
+
 def schema_sidecar(spark: SparkSession, folder: str) -> DataFrame:
     """Columns of a CSV directory by position, with the number of values in each."""
     path = write_rows_dir(
@@ -391,14 +406,14 @@ def graphson_hubs(spark: SparkSession, folder: str) -> DataFrame:
 
 def adjacency(spark: SparkSession, folder: str) -> DataFrame:
     """Star form taken apart again."""
-    lists = stars(graph_of(spark, folder, "trade"), edges_per_star=500)
     directed = F.map_from_arrays(F.array(F.lit("out"), F.lit("in")), F.array("out_edges", "in_edges"))
-    return (
-        lists.select("id", F.explode(directed).alias("direction", "edges"))
-        .select("id", "direction", F.explode("edges.other").alias("neighbour"))
-        .groupBy("id", "direction", "neighbour")
-        .agg(F.count(F.lit(1)).alias("edges"))
-    )
+    with stars(graph_of(spark, folder, "trade"), edges_per_star=500) as lists:
+        return checkpoint(
+            lists.select("id", F.explode(directed).alias("direction", "edges"))
+            .select("id", "direction", F.explode("edges.other").alias("neighbour"))
+            .groupBy("id", "direction", "neighbour")
+            .agg(F.count(F.lit(1)).alias("edges"))
+        )
 
 
 def neighbour_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -518,6 +533,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "edges_typed_projection": edges_typed_projection,
         "edges_default_weight": edges_default_weight,
         "edges_projection_listed_only": edges_projection_listed_only,
+        "edges_quoted_breaks": edges_quoted_breaks,
         "schema_sidecar": schema_sidecar,
         "vertices_from_edges": vertices_from_edges,
         "undirected_edges": undirected_edges,

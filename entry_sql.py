@@ -122,6 +122,10 @@ def oracle_sql() -> dict[str, str]:
         "edges_default_weight": """SELECT 'c' || o_custkey AS src, 's' || l_suppkey AS dst,
             coalesce(CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END, 1) AS weight
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        "edges_quoted_breaks": """SELECT c_name || chr(10) || '"' || c_mktsegment || '",' || chr(10) AS src, count(*) AS edges,
+            count(DISTINCT l_suppkey) AS sellers, max(l_extendedprice) AS largest
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+            GROUP BY c_name, c_mktsegment""",
         "schema_sidecar": """SELECT 0 AS position, 'c_name' AS name, 'String' AS type,
                 count(c_name) AS filled FROM customer
             UNION ALL SELECT 1, 'c_nationkey', 'Integer', count(c_nationkey) FROM customer

@@ -1,5 +1,7 @@
 """Edge lists and vertex tables as CSV."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,3 +254,68 @@ def test_wrong_rows_of_a_directory_raise_without_the_first_column(spark, tmp_pat
     path = edge_dir(tmp_path, f"1,a,b\n{line}\n", "n:Integer\np1:String\np2:String\n")
     with pytest.raises(Exception, match="wrong number of fields"):
         read_edges_dir(spark, path, "p1", "p2", keep_endpoints=False).collect()
+
+
+def cut_files(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def any_cut(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    yield lambda size: cut_files(spark, size)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+BREAKS = 'src,dst\n"a\n\n,""b""\n",c\n\nd,"""\n"\n"e",f\ng,"h\ni"\n'
+
+
+def test_quoted_breaks_at_every_cut(spark, tmp_path, any_cut):
+    path = tmp_path / "edges.csv"
+    path.write_text(BREAKS)
+    whole = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(path))
+    expected = rows_of(whole, "src", "dst")
+    assert ("a\n\n,\"b\"\n", "c") in expected and len(expected) == 4
+    for size in [*range(1, 20), 27, 36, len(BREAKS)]:  # of 1 byte: a cut at every place
+        any_cut(size)
+        edges = read_edges_csv(spark, str(path), "src", "dst", multiline=True)
+        assert rows_of(edges, "src", "dst") == expected, size
+
+
+@pytest.mark.parametrize("size", [3, 17, 64, 100_000])
+def test_quoted_breaks_in_several_files(spark, tmp_path, any_cut, size):
+    """Records through many ranges, CRLF, many files, and one without a last line break."""
+    rng = random.Random(size)
+    rows = [("".join(rng.choices('ab,"\n\r ', k=rng.randint(1, 40))), f"n{i}") for i in range(60)]
+    rows += [("long " * 40 + "\n" * 30, "n60"), ("\u00e9\U0001f600\n", "n61")]
+    for k, end in enumerate(["\n", "\r\n", "\n"]):
+        text = [",".join('"' + c.replace('"', '""') + '"' for c in row) for row in rows[k::3]]
+        (tmp_path / f"{k}.csv").write_bytes(end.join(["src,dst", *text]).encode() + (b"" if k == 2 else end.encode()))
+    any_cut(size)
+    edges = read_edges_csv(spark, str(tmp_path), "src", "dst", multiline=True)
+    assert rows_of(edges, "src", "dst") == sorted(rows)
+
+
+@pytest.mark.parametrize("text", ['a,"b\nc,d\n', 'a"x,b\nc,d"y\n', 'a,"b"c\n"\n'])
+def test_quotes_that_are_not_those_of_whole_fields_raise(spark, tmp_path, text):
+    path = tmp_path / "edges.csv"
+    path.write_text("src,dst\n" + text)
+    with pytest.raises(Exception, match="quotes are not closed or not around whole fields"):
+        read_edges_csv(spark, str(path), "src", "dst", multiline=True).collect()
+
+
+def test_multiline_checks_headers_and_lengths(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('src,dst,weight\n"a\n",b\n')
+    edges = read_edges_csv(spark, str(tmp_path), "src", "dst", "weight", multiline=True)
+    assert rows_of(edges, "src", "dst", "weight") == [("a\n", "b", 1.0)]
+    (tmp_path / "b.csv").write_text("src,dst,weight\na,b,1,2\n")
+    with pytest.raises(Exception, match="wrong number of fields"):
+        read_edges_csv(spark, str(tmp_path), "src", "dst", multiline=True).collect()
+    (tmp_path / "b.csv").write_text("dst,src,weight\na,b,1\n")
+    with pytest.raises(Exception, match="header is not src,dst,weight"):
+        read_edges_csv(spark, str(tmp_path), "src", "dst", multiline=True).collect()
+    path = edge_dir(tmp_path, '1,"a\nb",""\n2,,c\n', "n:Integer\np1:String\np2:String\n")
+    assert [tuple(r) for r in read_rows_dir(spark, path, multiline=True).orderBy("n").collect()] == [(1, "a\nb", ""), (2, None, "c")]

@@ -1,12 +1,13 @@
 """Graphs as adjacency JSON."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from vertexloom.operators import graph_from_edges, stars, with_property
-from vertexloom.sources import read_graphson, write_graphson
+from vertexloom.sources import read_graphson, staged_graphson, write_graphson
 
 PAIRS = [
     ("a", "b", 0.5, 1, "x"),
@@ -60,18 +61,78 @@ def test_lines(spark, tmp_path, graph):
     assert outs == ins and len(outs) == len(PAIRS)
 
 
-def test_hub_is_split(graph):
-    parts = stars(graph, edges_per_star=2)
-    sizes = parts.groupBy("id").agg(F.count("*").alias("parts"), F.count("vertex").alias("vertices"))
-    assert {r["id"]: (r["parts"], r["vertices"]) for r in sizes.collect()} == {
-        "a": (2, 2),
-        "b": (2, 2),
-        "c": (1, 1),
-        "ü,\n": (1, 1),
-        '{"@value": 3}': (1, 1),
+def test_hub_is_split(spark, graph):
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with stars(graph, edges_per_star=2) as parts:
+        rows = parts.collect()
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() >= kept
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    found = {}
+    for r in rows:
+        assert r["vertex"]["id"] == r["id"]
+        found.setdefault(r["id"], []).append((r["part"], r["parts"]))
+    assert {k: sorted(v) for k, v in found.items()} == {
+        "a": [(0, 2), (1, 2)],
+        "b": [(0, 2), (1, 2)],
+        "c": [(0, 1)],
+        "ü,\n": [(0, 1)],
+        '{"@value": 3}': [(0, 1)],
     }
-    edges = parts.select(F.explode("out_edges")).count(), parts.select(F.explode("in_edges")).count()
-    assert edges == (len(PAIRS), len(PAIRS))
+    for edges in ("out_edges", "in_edges"):
+        assert sum(len(r[edges]) for r in rows) == len(PAIRS)
+
+
+def test_lines_tell_how_many_they_are(spark, tmp_path, graph):
+    write_graphson(graph, str(tmp_path / "g"), edges_per_line=2)
+    lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "g")).collect()]
+    by_id = {}
+    for line in lines:
+        by_id.setdefault(line["id"], []).append((line["part"], line["parts"]))
+    assert all(sorted(found) == [(i, len(found)) for i in range(len(found))] for found in by_id.values())
+    assert len(by_id["a"]) == 2 and len(by_id["c"]) == 1
+
+
+@pytest.mark.parametrize("damage", ["lost", "doubled", "swapped", "single doubled"])
+@pytest.mark.parametrize("given", [False, True])
+def test_incomplete_lines_raise(spark, tmp_path, make_graph, damage, given):
+    hub = make_graph([("hub", f"v{i}") for i in range(10)])
+    write_graphson(hub, str(tmp_path / "g"), edges_per_line=3)
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "g")).collect()]
+    parts = [line for line in lines if json.loads(line)["id"] == "hub"]
+    assert len(parts) == 4
+    others = [line for line in lines if line not in parts]
+    kept = {
+        "lost": [*others, *parts[1:]],
+        "doubled": [*others, *parts, parts[0]],
+        "swapped": [*others, *parts[1:], parts[1]],
+        "single doubled": [*others, *parts, others[0]],
+    }[damage]
+    (tmp_path / "in").mkdir()
+    for i, line in enumerate(kept):
+        (tmp_path / "in" / f"part-{i}").write_text(line)
+    types = {"vertex_properties": {}, "edge_properties": {}} if given else {}
+    with pytest.raises(Exception, match="incomplete"):
+        read_graphson(spark, str(tmp_path / "in"), **types).vertices.collect()
+
+
+def test_a_vertex_of_two_files_is_complete_in_each(spark, tmp_path, make_graph):
+    write_graphson(make_graph([("hub", f"v{i}") for i in range(10)]), str(tmp_path / "a"), edges_per_line=3)
+    write_graphson(make_graph([("hub", "v1"), ("hub", "w"), ("w", "w")]), str(tmp_path / "b"), edges_per_line=1)
+    both = read_graphson(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert both.edges.count() == 13 and both.vertices.count() == 12
+
+
+def test_text_is_parsed_once(spark, tmp_path, graph):
+    write_graphson(graph, str(tmp_path / "g"))
+    back = read_graphson(spark, str(tmp_path / "g"))
+    for frame in (back.vertices, back.edges):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Scan text" not in plan and "from_json" not in plan and "FileScan parquet" in plan
+    with staged_graphson(spark, str(tmp_path / "g")) as staged:
+        assert rows_of(staged.edges, "src", "dst", "note") == rows_of(graph.edges, "src", "dst", "note")
+        folder = staged.edges.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert "vertexloom-lines" in folder and Path(folder).exists()
+    assert not Path(folder).exists()
 
 
 def test_typed_ids_and_shared_edges(spark, tmp_path):

@@ -108,10 +108,25 @@ def test_scan_of_a_stored_graph_is_pruned_and_filtered(spark, tmp_path, make_gra
     assert "EqualTo(label,g-V)" in plan
 
 
-def test_csv_scan_reads_chosen_columns_and_what_the_check_needs(spark, tmp_path):
+def test_csv_scan_reads_whole_rows_for_the_check_of_their_length(spark, tmp_path):
     (tmp_path / "e.csv").write_text("src,dst,weight,more,and_more\na,b,1,x,y\n")
     plan = plan_of(read_edges_csv(spark, str(tmp_path / "e.csv"), "src", "dst"))
-    assert "ReadSchema: struct<src:string,dst:string,_row:string>" in plan
+    assert "weight:string,more:string,and_more:string,_row:string>" in plan
+    assert plan.count("Scan csv") == 1 and "raise_error" in plan and "Exchange" not in plan
+
+
+def test_quoted_line_breaks_need_no_whole_file_in_a_task(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("src,dst\n" + '"a\nb",c\n' * 2_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        edges = read_edges_csv(spark, str(tmp_path / "e.csv"), "src", "dst", multiline=True)
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path / "e.csv")).rdd.getNumPartitions() > 10
+        plan = plan_of(edges)
+        assert "Scan text" in plan and "Scan csv" not in plan and "Python" not in plan
+        assert edges.count() == 2_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_sources_are_read_once(spark, tmp_path, make_graph):

@@ -37,10 +37,10 @@ def test_attach_with_default(spark, with_hot):
 def test_stars_of_hubs(make_graph, monkeypatch, broadcast_rows):
     monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
     pairs = [("hub", f"v{i % 40}") for i in range(600)] + [("mid", f"v{i}") for i in range(30)] + [("a", "b")]
-    parts = stars(make_graph(pairs), edges_per_star=20)
-    sizes = parts.select(
-        "id", (F.size("out_edges") + F.size("in_edges")).alias("n"), F.col("vertex").isNotNull().alias("v")
-    ).collect()
+    with stars(make_graph(pairs), edges_per_star=20) as parts:
+        sizes = parts.select(
+            "id", (F.size("out_edges") + F.size("in_edges")).alias("n"), F.col("vertex").isNotNull().alias("v")
+        ).collect()
     assert sum(r["n"] for r in sizes) == 2 * len(pairs)
     assert all(r["v"] for r in sizes)
     assert sum(r["id"] == "hub" for r in sizes) == 30

@@ -127,39 +127,52 @@ def _between_known(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 def _without_ends_in(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges that have neither end in ``ids``."""
     ids, small = _sized(ids)
-    if ids.isEmpty():
-        ids.unpersist()
+    if small == 0:
         return edges
-    for end in ("src", "dst"):
-        edges = _by_id(edges, end, "left_anti", ids, small)
+    return _by_id(edges, ("src", "dst"), False, ids, small)
+
+
+def _sized(ids: DataFrame) -> tuple[DataFrame, int | None]:
+    """The ids and how many there are; None if they are too many to broadcast.
+
+    Few ids become a table of their own, so nothing has to be kept in memory for them.
+    """
+    ids = ids.select("id")
+    rows = ids.limit(runtime.BROADCAST_ROWS + 1) if fits_broadcast(ids) else None
+    found = rows.collect() if rows is not None else None
+    if found is None or len(found) > runtime.BROADCAST_ROWS:
+        return ids, None
+    return ids.sparkSession.createDataFrame(found, ids.schema), len(found)
+
+
+def _by_id(edges: DataFrame, ends: Sequence[str], keep: bool, ids: DataFrame, small: int | None) -> DataFrame:
+    """Edges that have all of their ``ends`` among the ids (``keep``), or none of them."""
+    how = "left_semi" if keep else "left_anti"
+    if small is not None:
+        for end in ends:
+            edges = edges.join(F.broadcast(ids.select(F.col("id").alias(end))), end, how).select(*edges.columns)
+        return edges
+    # Many ids: a shuffle join, with the ends of very many edges answered by broadcast.
+    frequent = _frequent(edges, ends)
+    listed = ids.select("id", F.lit(True).alias("listed"))
+    for end in ends:
+        hot = listed.join(F.broadcast(frequent.where(F.col("end") == end).select("id")), "id")
+        found = attach(edges, end, listed, "_listed", hot, missing=False)
+        edges = found.where(F.col("_listed") == F.lit(keep)).select(*edges.columns)
     return edges
 
 
-def _sized(ids: DataFrame) -> tuple[DataFrame, bool]:
-    """The ids, kept, and whether they are few enough to broadcast."""
-    ids = ids.persist()
-    return ids, fits_broadcast(ids)
-
-
-def _by_id(edges: DataFrame, end: str, how: str, ids: DataFrame, small: bool) -> DataFrame:
-    """Edges whose ``end`` is (``left_semi``) or is not (``left_anti``) among the ids."""
-    if small:
-        keys = ids.select(F.col("id").alias(end))
-        return edges.join(F.broadcast(keys), end, how).select(*edges.columns)
-    # many ids: a shuffle join, with the ends of very many edges answered by broadcast
-    uses = edges.groupBy(F.col(end).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    total = uses.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    frequent = uses.where((F.col("n") > total // max(1, runtime.BROADCAST_ROWS)) & broadcastable_id())
-    hot = ids.join(frequent, "id")
-    listed = attach(
-        edges,
-        end,
-        ids.select("id", F.lit(True).alias("listed")),
-        "_listed",
-        hot.select("id", F.lit(True).alias("listed")),
-        missing=False,
-    )
-    return listed.where(F.col("_listed") == F.lit(how == "left_semi")).select(*edges.columns)
+def _frequent(edges: DataFrame, ends: Sequence[str]) -> DataFrame:
+    """``end``, ``id`` of the names that very many edges have at an end; one pass over the edges for all ends.
+
+    At most ``BROADCAST_ROWS`` names of an end can stand at more than that share of the
+    edges, and only short ones count, so the list is bounded.
+    """
+    often = edges.count() // max(1, runtime.BROADCAST_ROWS)
+    each = F.explode(F.array(*[F.struct(F.lit(e).alias("end"), F.col(e).alias("id")) for e in ends])).alias("u")
+    uses = edges.select(each).groupBy("u.end", "u.id").agg(F.count(F.lit(1)).alias("n"))
+    found = uses.where((F.col("n") > often) & broadcastable_id()).select("end", "id").collect()
+    return edges.sparkSession.createDataFrame(found, "end string, id string")
 
 
 def clear_edges(graph: Graph) -> Graph:
@@ -182,11 +195,11 @@ def with_property(graph: Graph, values: DataFrame, column: str) -> Graph:
     Of several values for an id the largest counts (any, where a type has no order).
     """
     kept = graph.vertices.drop(column)
-    one = values.groupBy("id").agg(_one_of(values, column).alias(column))
+    one = values.groupBy("id").agg(one_of(values, column).alias(column))
     return graph.with_vertices(kept.join(one, "id", "left"))
 
 
-def _one_of(rows: DataFrame, column: str) -> Column:
+def one_of(rows: DataFrame, column: str) -> Column:
     """Aggregate that picks one non-NULL value: the largest if the type has an order."""
     kind = rows.schema[column].dataType.simpleString()
     name = F.col(f"`{column}`")
@@ -202,7 +215,7 @@ def merge_vertices(vertices: DataFrame) -> DataFrame:
     others = [c for c in vertices.columns if c != "id"]
     if not others:
         return vertices.distinct()
-    return vertices.groupBy("id").agg(*[_one_of(vertices, c).alias(c) for c in others])
+    return vertices.groupBy("id").agg(*[one_of(vertices, c).alias(c) for c in others])
 
 
 def split_graph(graph: Graph, conditions: Sequence[Column]) -> list[Graph]:
@@ -210,8 +223,8 @@ def split_graph(graph: Graph, conditions: Sequence[Column]) -> list[Graph]:
     parts = []
     for condition in conditions:
         vertices = graph.vertices.where(condition)
-        ids, small = _sized(vertices.select("id"))
-        parts.append(Graph(vertices, _by_id(graph.edges, "src", "left_semi", ids, small), graph.name))
+        ids, small = _sized(vertices)
+        parts.append(Graph(vertices, _by_id(graph.edges, ("src",), True, ids, small), graph.name))
     return parts
 
 

@@ -139,6 +139,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path``, which must be there, when the application ends."""
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.deleteOnExit(hadoop_path)
+
+
 def rename_path(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _filesystem(spark, source)
     target_path = _filesystem(spark, target)[1]

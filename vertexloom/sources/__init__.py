@@ -1,6 +1,6 @@
 from vertexloom.sources.csv_edges import read_edges_csv, read_edges_dir, read_rows_dir
 from vertexloom.sources.csv_vertices import ExportResult, file_size, write_vertices_csv, write_vertices_dir
-from vertexloom.sources.graphson import read_graphson, write_graphson
+from vertexloom.sources.graphson import read_graphson, staged_graphson, write_graphson
 from vertexloom.sources.schema_file import infer_schema, read_schema, write_schema
 from vertexloom.sources.store import (
     GraphCounts,
@@ -23,6 +23,7 @@ __all__ = [
     "read_edges_dir",
     "read_graph",
     "read_graphson",
+    "staged_graphson",
     "read_rows_dir",
     "read_schema",
     "save_graph",
