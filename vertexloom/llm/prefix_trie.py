@@ -218,13 +218,14 @@ def shard_nodes(
             keys[path[d]] = name
     spine = np.array([k is not None for k in keys])
     digests = [NO_ENDS] * count
-    spine_ends: list[tuple[bytes, int]] = []
+    spine_ends: list[tuple[bytes, int, str]] = []
     for node in np.unique(last_node):
         own = ids[np.searchsorted(last_node, node) : np.searchsorted(last_node, node, side="right")].tolist()
+        listed = ",".join(map(str, own))
         if spine[node]:
-            spine_ends += [(keys[node], i) for i in own]
+            spine_ends.append((keys[node], own[0], listed))
         else:
-            digests[node] = sha256(",".join(map(str, own)).encode()).hexdigest()
+            digests[node] = sha256(listed.encode()).hexdigest()
     kind = np.where(spine, SPINE, np.where(spine[parent], BELOW_SPINE, WHOLE))
     kind[0] = SPINE if spine[0] else WHOLE
     has_parent = np.arange(count) > 0
@@ -266,24 +267,24 @@ def _shards(reach: dict[int, tuple[int, int]]):
         for start in range(0, len(out), 50_000):
             yield out.iloc[start : start + 50_000]
         if ends:
-            blank = {c: 0 for c in out.columns} | {"kind": SPINE_END, "parent_key": None, "ends_sha256": None}
-            yield pd.DataFrame({**blank, "key": [k for k, _ in ends], "conv_id": [i for _, i in ends]})[out.columns]
+            blank = {c: 0 for c in out.columns} | {"kind": SPINE_END, "parent_key": None}
+            keys, first, listed = zip(*ends, strict=True)
+            yield pd.DataFrame({**blank, "key": keys, "conv_id": first, "ends_sha256": listed})[out.columns]
 
     return build
 
 
 def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Digest of the ids of each key, from rows sorted by key and id."""
+    """Digest of the lists of ids of each key, from rows sorted by key and first id."""
     key, running = None, sha256()
     for batch in batches:
-        for k, ids in batch.groupby("key", sort=False)["conv_id"]:
-            text = ",".join(map(str, ids))
-            if k != key:
+        for k, ids in zip(batch["key"], batch["ids"], strict=True):
+            if k == key:
+                running.update(f",{ids}".encode())
+            else:
                 if key is not None:
                     yield pd.DataFrame({"key": [key], "digest": [running.hexdigest()]})
-                key, running = k, sha256(text.encode())
-            else:
-                running.update(f",{text}".encode())
+                key, running = k, sha256(ids.encode())
     if key is not None:
         yield pd.DataFrame({"key": [key], "digest": [running.hexdigest()]})
 
@@ -344,8 +345,8 @@ def trie(found: DataFrame, turns_per_shard: int = TURNS_PER_SHARD) -> DataFrame:
             *[F.sum(c).alias(c) for c in figures],
         )
     )
-    # A digest needs its ids one after the other: 8 bytes each, streamed, for a key that runs through shards.
-    ends = nodes.where(F.col("kind") == SPINE_END).select("key", "conv_id").repartition("key")
+    # A digest needs its ids one after the other: of a key that runs through shards, a row for each, streamed.
+    ends = nodes.where(F.col("kind") == SPINE_END).select("key", "conv_id", F.col("ends_sha256").alias("ids")).repartition("key")
     digests = ends.sortWithinPartitions("key", "conv_id").mapInPandas(_ends, "key binary, digest string")
     merged = stored(merged.join(digests, "key", "left"), "trie-spines")
     parents = merged.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("above"))
