@@ -95,8 +95,42 @@ def test_peer_pressure_round(make_graph, rounds, no_broadcast):
         # one shuffle tallies the votes by (vertex, cluster), one finds the winner
         assert count(plan, "Exchange") == 2
         assert count(plan, "partial_sum") == 1
-        assert count(plan, "partial_min") == 1
+        assert count(plan, "partial_max") == 1
         assert count(plan, "CartesianProduct|NestedLoop|Python") == 0
+        # hash aggregates all the way: only the winners are sorted, for the join with the state
+        assert count(plan, "SortAggregate") == 0
+        assert count(plan, r"\bSort \[") == 1
+
+
+@pytest.mark.parametrize("vote", ["unit", "distributed"])
+def test_winner_without_room_for_a_number(make_graph, monkeypatch, vote):
+    """Both ways to find the winner agree, also where votes and names come near to the limit."""
+    module = sys.modules["vertexloom.operators.peer_pressure"]
+    coded = {r["id"]: r["cluster"] for r in peer_pressure(make_graph(PAIRS), vote=vote, max_iter=4).graph.vertices.collect()}
+    real = module._best_offer
+    asked = []
+
+    def crowded(score, highest, num_vertices):
+        asked.append(highest)
+        return real(score, 1 << 62, num_vertices)
+
+    monkeypatch.setattr(module, "_best_offer", crowded)
+    plain = {r["id"]: r["cluster"] for r in peer_pressure(make_graph(PAIRS), vote=vote, max_iter=4).graph.vertices.collect()}
+    assert asked and coded == plain
+
+
+def test_width_of_the_rounds_is_a_parameter(make_graph, monkeypatch):
+    module = sys.modules["vertexloom.operators.propagation"]
+    real, widths = module.partitions_for, []
+    monkeypatch.setattr(module, "partitions_for", lambda *a: widths.append(a[-1]) or real(*a))
+    pagerank(make_graph(PAIRS), max_iter=1, max_partitions=123)
+    peer_pressure(make_graph(PAIRS), max_iter=1, max_partitions=45)
+    assert widths == [123, 45]
+
+
+def test_write_back_of_unique_values_has_no_aggregate(make_graph, no_broadcast):
+    ranked = pagerank(make_graph(PAIRS), max_iter=1).graph
+    assert "pagerank" not in "".join(line for line in own_nodes(ranked.vertices) if "Aggregate" in line)
 
 
 def test_scan_of_a_stored_graph_is_pruned_and_filtered(spark, tmp_path, make_graph):

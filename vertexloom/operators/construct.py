@@ -189,13 +189,16 @@ def clear_vertices(graph: Graph, condition: Column | None = None) -> Graph:
     return Graph(graph.vertices.where(~dropped), edges, graph.name)
 
 
-def with_property(graph: Graph, values: DataFrame, column: str) -> Graph:
+def with_property(graph: Graph, values: DataFrame, column: str, unique: bool = False) -> Graph:
     """Write ``values`` (``id``, ``column``) onto the vertices; all vertices stay.
 
     Of several values for an id the largest counts (any, where a type has no order).
+    ``unique`` says that no id has several, which saves bringing them together.
     """
     kept = graph.vertices.drop(column)
-    one = values.groupBy("id").agg(one_of(values, column).alias(column))
+    one = values.select("id", F.col(f"`{column}`"))
+    if not unique:
+        one = one.groupBy("id").agg(one_of(values, column).alias(column))
     return graph.with_vertices(kept.join(one, "id", "left"))
 
 

@@ -12,7 +12,7 @@ from vertexloom.graph import Graph
 from vertexloom.operators.construct import with_property
 from vertexloom.operators.propagation import EDGES_PER_HUB, laid_out
 from vertexloom.operators.select import top_vertices
-from vertexloom.runtime import checkpoint, drop_checkpoint
+from vertexloom.runtime import MAX_PARTITIONS, checkpoint, drop_checkpoint
 
 
 @dataclass(frozen=True)
@@ -33,17 +33,19 @@ def pagerank(
     tol: float | None = None,
     total_mass: float = 1.0,
     edges_per_hub: int = EDGES_PER_HUB,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> PageRankResult:
     """Rank the vertices and store the rank as a vertex property.
 
     Parallel edges count separately, edge weights do not matter, and the rank
     of vertices without out-edges is shared by all. Ranks start equal and add
     up to ``total_mass``. Stops after ``max_iter`` iterations, or earlier once
-    the ranks (of mass 1) move by less than ``tol`` in total.
+    the ranks (of mass 1) move by less than ``tol`` in total. ``max_partitions`` bounds
+    the width of the iterations.
     """
     started = time.monotonic()
     share = F.col("copies") / F.col("out_degree")
-    with laid_out(graph, share, edges_per_hub=edges_per_hub) as layout:
+    with laid_out(graph, share, edges_per_hub=edges_per_hub, max_partitions=max_partitions) as layout:
         n = max(layout.num_vertices, 1)
         sink_mass = layout.num_sinks / n
         state = layout.vertices.select(
@@ -82,7 +84,7 @@ def pagerank(
         )
         if iterations:
             drop_checkpoint(state)
-    ranked = with_property(graph, ranks, result)
+    ranked = with_property(graph, ranks, result, unique=True)
     elapsed_ms = int((time.monotonic() - started) * 1000)
     top = top_vertices(ranked, result, return_top) if return_top > 0 else None
     return PageRankResult(ranked, elapsed_ms, iterations, top)
