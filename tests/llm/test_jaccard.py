@@ -7,7 +7,16 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from vertexloom.llm.jaccard_join import Shingler, groups, may_be_similar, one_of_each, outline, signatures
+from vertexloom.llm.jaccard_join import (
+    SKETCH_BITS,
+    Shingler,
+    groups,
+    may_be_similar,
+    one_of_each,
+    outline,
+    parity,
+    signatures,
+)
 
 
 def shingles(text):
@@ -93,3 +102,30 @@ def test_words_of_different_texts_hash_apart():
     shingler = Shingler(1)
     found = shingler.words("ab ba abc a\tb c\x0bab ABC ä")
     assert len(set(found.tolist())) == 7 and found[0] == found[6] and found[2] == found[7]
+
+
+def test_parities_never_part_similar_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40, 400, 4_000):
+        tokens = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        for shift in range(0, n, max(1, n // 7)):
+            a, b = tokens[:n], tokens[shift : n + shift]
+            differ = sum((x ^ y).bit_count() for x, y in zip(*[[v % 2**64 for v in parity(t)] for t in (a, b)], strict=True))
+            assert differ <= 2 * shift and (differ > 0) == (shift > 0)
+
+
+def test_reach_bounds_what_is_shared():
+    """At the first signature that two sets share, neither reach is below the size of their intersection."""
+    rng = np.random.default_rng(9)
+    frequent = np.packbits(np.arange(1 << SKETCH_BITS) % 2 == 0)
+    for _ in range(300):
+        n = int(rng.integers(8, 120))
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        base[rng.random(n) < 0.9] &= ~np.uint64(1)  # mostly frequent
+        one, two = (np.unique(np.where(rng.random(n) < 0.06, rng.integers(0, 2**63, n).astype(np.uint64), base)) for _ in range(2))
+        common = len(np.intersect1d(one, two))
+        if 100 * common < 75 * (len(one) + len(two) - common):
+            continue
+        (s1, r1), (s2, r2) = signatures(one, frequent), signatures(two, frequent)
+        shared, i, j = np.intersect1d(s1, s2, return_indices=True)
+        assert len(one) == len(two) == common or (len(shared) and np.minimum(r1[i], r2[j]).max() >= common)

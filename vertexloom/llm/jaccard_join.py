@@ -8,11 +8,13 @@ documents; frequent shingles fall into classes, and two of one class together ma
 signature. Since the first shingle taken of a class makes no signature yet, the prefix
 grows by one for each class it touches; then the pigeonhole argument holds as before.
 
-Signatures only propose pairs: texts are compared in full. Members of a signature are
-compared with a few pivots first; what these comparisons connect needs no further ones,
-so a large group of near copies costs steps in proportion to its size. All pairs that
-share a signature and are not connected by then are compared as well, which leaves no
-link out.
+Signatures only propose pairs: texts are compared in full. A pair falls away beforehand if
+what its first shared signature leaves is too little, or if too many slots of the sets'
+parities differ, each of which holds a token of one set alone. Members of a signature are
+compared with a few pivots first, among them the one with the fewest rare tokens, to which
+near copies are nearest; what these comparisons connect needs no further ones, so a large
+group of near copies costs steps in proportion to its size. All pairs that share a
+signature and are not connected by then are compared as well, which leaves no link out.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH_BITS, SLICES = 20, 64
 TOKENS_PER_CLASS = 16
+PARITIES = 8
 PIVOT_ORDERS = 3
 SETS_SEEN = 500_000
 SALTS = 1_024
@@ -45,6 +48,7 @@ def _numbers(name: str, count: int) -> np.ndarray:
 
 
 _ODD, _OF_BYTE = _numbers("odd", 16), _numbers("byte", 256)
+PARITY = [f"p{i}" for i in range(PARITIES)]
 _IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -120,6 +124,15 @@ def may_be_similar(left: bytes, right: bytes, percent: int) -> bool:
     return 100 * common >= percent * (int(a.sum()) + int(b.sum()) - common)
 
 
+def parity(tokens: np.ndarray) -> list[int]:
+    """For each slot, whether an odd number of tokens falls into it: ``PARITIES`` numbers of 64 bits.
+
+    Slots in which two sets differ hold a token that only one of them has.
+    """
+    odd = np.bincount((tokens >> np.uint64(40) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def digest(tokens: np.ndarray) -> tuple[int, int]:
     both = blake2b(tokens.tobytes(), digest_size=16).digest()
     return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
@@ -140,6 +153,7 @@ def _reader(size: int):
                 d1=[d for d, _ in both],
                 d2=[d for _, d in both],
                 outline=[outline(t) for t in sets],
+                **dict(zip(PARITY, np.array([parity(t) for t in sets], np.int64).reshape(-1, PARITIES).T, strict=True)),
                 slice=-1,
                 counts=None,
             )
@@ -148,6 +162,7 @@ def _reader(size: int):
             yield pd.DataFrame(
                 {
                     **{"doc_id": None, "_k1": 0, "_k2": 0, "n": 0, "d1": 0, "d2": 0, "outline": None},
+                    **dict.fromkeys(PARITY, 0),
                     **{"slice": range(SLICES), "counts": parts},
                 }
             )
@@ -178,7 +193,9 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
 
     The reach bounds what the set has in common with another one if this is the first
     signature that they share: the tokens from there on, and for a pair one more for each
-    class, as one common token of a class makes no signature.
+    class, as one common token of a class makes no signature. A set has pairs only if all
+    of its rare tokens are signatures too, so sets that first share a pair have no rare
+    token in common, and the reach is no more than the number of frequent ones.
     """
     n = len(tokens)
     if n < 2:  # one token is similar to itself only, and equal sets are one class
@@ -204,7 +221,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
         end = int(np.searchsorted(np.cumsum(~first), wanted)) + 1
         order = np.argsort(of[:end], kind="stable")
         by_class, start = often[:end][order], 0
-        after = after_rare - order
+        after = np.minimum(after_rare - order, n - len(rare))
         for stop in [*(np.flatnonzero(np.diff(of[:end][order])) + 1).tolist(), len(order)]:
             left, right = np.triu_indices(stop - start, 1)
             group = by_class[start:stop]
@@ -327,15 +344,14 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     id_type = docs.schema["doc_id"].dataType
     # The id goes through Python as text: pandas would make a column with nulls one of floats.
     texts = docs.select(F.col("doc_id").cast("string"), *content_key(F.col("doc_id"), F.col("text")), "text")
-    columns = (
-        "doc_id string, _k1 long, _k2 long, n long, d1 long, d2 long, outline binary, slice int, counts binary"
-    )
+    longs = ", ".join(f"{c} long" for c in ("_k1", "_k2", "n", "d1", "d2"))
+    columns = f"doc_id string, {longs}, outline binary, {', '.join(f'{p} long' for p in PARITY)}, slice int, counts binary"
     read = stored(texts.mapInPandas(_reader(size), columns), "shingle-sets")
     own = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_k1", "_k2")
     per_row = read.where("slice < 0").withColumn("doc_id", F.col("doc_id").cast(id_type))
     sets = per_row.select("doc_id", "_k1", "_k2", "n", "d1", "d2", own.alias("own"))
     by_set = per_row.where("n > 0").withColumn("own", own).groupBy("d1", "d2")
-    classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"))
+    classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"), *[F.max(p).alias(p) for p in PARITY])
 
     frequent = frequent_tokens(read)
     pair = "sig long, d1 long, reach long"
@@ -349,8 +365,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     nodes = stored(
         classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
     )
-    met = shared.join(nodes.select("d1", "node", "n"), "d1")
-    members = stored(met.select("sig", "node", "n", "reach"), "members")
+    met = shared.join(nodes.select("d1", "node", "n", *PARITY), "d1")
+    members = stored(met.select("sig", "node", "n", "reach", *PARITY), "members")
     outlines = nodes.select("node", "outline")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -368,15 +384,25 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
 
     # At the first signature that two sets share, their reach bounds what they have in
     # common. Later ones may fall short of the bound; the first one of similar sets never does.
-    possible = F.least("reach", "other_reach") * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent
+    both_n = F.col("n") + F.col("other_n")
+    reached = F.least("reach", "other_reach") * (100 + percent) >= both_n * percent
+    # Slots of odd counts in which two sets differ hold a token that one of them lacks.
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY), F.lit(0))
+    possible = reached & (apart * (100 + percent) <= both_n * (100 - percent))
     order = F.xxhash64(F.pmod("sig", F.lit(PIVOT_ORDERS)), "node")
-    smallest = F.min(F.struct("n", order.alias("o"), "node", "reach")).alias("low")
-    any_one = F.min(F.struct(order.alias("o"), "node", "n", "reach")).alias("any")
-    both = F.array(F.struct("low.node", "low.n", "low.reach"), F.struct("any.node", "any.n", "any.reach"))
-    pivots = members.groupBy("sig").agg(smallest, any_one).select("sig", F.explode(F.array_distinct(both)).alias("p"))
-    pivots = pivots.select(
-        "sig", F.col("p.node").alias("other"), F.col("p.n").alias("other_n"), F.col("p.reach").alias("other_reach")
-    )
+    facts = ["node", "n", "reach", *PARITY]
+    smallest = F.min(F.struct("n", order.alias("o"), *[c for c in facts if c != "n"])).alias("low")
+    any_one = F.min(F.struct(order.alias("o"), *facts)).alias("any")
+    plain = F.floor(F.col("reach") * 1_000 / F.col("n")).alias("part")
+    most_common = F.max(F.struct(plain, order.alias("o"), *facts)).alias("most")
+    all_three = F.array(*[F.struct(*[F.col(f"{p}.{c}") for c in facts]) for p in ("low", "any", "most")])
+    chosen = members.groupBy("sig").agg(smallest, any_one, most_common)
+    pivots = chosen.select("sig", F.explode(F.array_distinct(all_three)).alias("p"))
+
+    def other(name: str) -> str:
+        return "other" if name == "node" else f"other_{name}"
+
+    pivots = pivots.select("sig", *[F.col(f"p.{c}").alias(other(c)) for c in facts])
     stars = members.join(pivots, "sig").where((F.col("node") != F.col("other")) & possible)
     pair_of = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
     tried = stored(stars.select(*pair_of).distinct(), "pairs")
@@ -401,15 +427,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         .agg(F.max_by("sig", "reach").alias("sig"))
     )
     left = stored(placed.join(open_sigs.select("sig"), "sig"), "open-members")
-    other = left.select(
-        "sig",
-        F.col("node").alias("other"),
-        F.col("label").alias("other_label"),
-        F.col("n").alias("other_n"),
-        F.col("reach").alias("other_reach"),
-    )
     rest = (
-        left.join(other, "sig")
+        left.join(left.select("sig", *[F.col(c).alias(other(c)) for c in [*facts, "label"]]), "sig")
         .where((F.col("label") < F.col("other_label")) & possible)
         .select(*pair_of)
         .distinct()
@@ -420,16 +439,17 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     grouped = nodes.join(label, "node").select("d1", "d2", "first", "label")
     firsts = grouped.groupBy("label").agg(F.min("first").alias("group_first"))
     reached = grouped.join(firsts, "label").select("d1", "d2", "group_first")
-    found = classes.join(reached, ["d1", "d2"], "left").select(
-        "d1", "d2", F.coalesce("group_first", "first").alias("first")
-    )
-    return sets.join(found, ["d1", "d2"], "left").select(
-        "doc_id",
-        "_k1",
-        "_k2",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("own")).alias("first"),
+    # Written first, so that the join below has a shuffle on either side, which Spark can
+    # split where very many rows have one set.
+    found = stored(
+        classes.join(reached, ["d1", "d2"], "left").select(
+            "d1", "d2", F.coalesce("group_first", "first").alias("first")
+        ),
+        "firsts",
     )
+    result = ["doc_id", "_k1", "_k2", F.col("n").alias("n_shingles"), "first"]
+    with_words = sets.where("n > 0").join(found, ["d1", "d2"]).select(*result)
+    return with_words.unionByName(sets.where("n = 0").withColumn("first", F.col("own")).select(*result))
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
