@@ -7,6 +7,8 @@ each document in the mixture.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,12 @@ from vertexloom.runtime import use_local_scratch
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    found = quality.classify(docs, common.table(spark, sf_dir, "labels"))
+    """Documents that the quality classifier does not reject; all, with a warning, if no labels teach it."""
+    model = quality.train(docs, common.table(spark, sf_dir, "labels"))
+    if not model.trained:
+        warnings.warn("no documents with labels of both kinds: the quality classifier keeps all", stacklevel=2)
+        return docs
+    found = quality.scored(docs, model)
     return found.where(F.col("quality_score") >= quality.THRESHOLD).select("row.*")
 
 
@@ -56,9 +62,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over ``documents``."""
+    """The stages one after the other over ``documents``; raises if one of them leaves nothing of something.
+
+    An empty table stays empty. See the operators for nulls, repeated rows and ties.
+    """
     use_local_scratch(spark)
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = common.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        kept = common.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if kept.isEmpty() and not docs.isEmpty():
+            raise RuntimeError(f"{name} rejects every document")
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -111,6 +111,6 @@ def test_network_sees_the_end_of_a_long_text():
     rng = random.Random(7)
     clean = [" ".join("".join(rng.choices("abcdeinorst", k=5)) for _ in range(80)) for _ in range(40)]
     junk = [t.replace(" ", "### ") for t in clean]
-    network = ByteCnn().fit([*clean, *junk], [1] * 40 + [0] * 40, epochs=8)
+    network = ByteCnn().fit([*clean, *junk], [1] * 40 + [0] * 40, steps=60)
     long = " ".join(clean * 20)
     assert network.score(long) > network.score(long + "### " * 60_000)

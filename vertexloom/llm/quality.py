@@ -16,15 +16,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vertexloom.llm.common import fold, small_batches
 
-SAMPLE_ROWS = 2_000
-SAMPLE_CHARS = 2_048
+SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 16_000_000
 THRESHOLD = 0.7
 WIDTH, STRIDE, FILTERS, DEPTH = 8, 2, 24, 6
 CHUNK, OVERLAP, FARTHEST = 4_096, 48, 40
-EPOCHS = 5
+STEPS, BATCH = 640, 16
 
 
 class ByteCnn:
@@ -39,6 +39,7 @@ class ByteCnn:
             "out": rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32),
             "bias": np.zeros(1, np.float32),
         }
+        self.trained = False
 
     def chunks(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Byte windows (one row each) of every chunk, and whether a window also stands a few bytes before."""
@@ -98,42 +99,50 @@ class ByteCnn:
             "bias": np.array([error], np.float32),
         }
 
-    def fit(self, texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> ByteCnn:
+    def fit(
+        self, texts: list[str | None], labels: list[int], good_share: float = 0.5, steps: int = STEPS, seed: int = 7
+    ) -> ByteCnn:
+        """``steps`` steps, however few rows there are. ``good_share`` of all rows have label 1, as far as is known."""
         rng = np.random.default_rng(seed)
         rows = [np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8) for t in texts]
         y = np.asarray(labels, np.float32)
         # Both labels weigh the same in sum, or the rare one would be learned last.
-        share = np.clip(y.mean(), 0.02, 0.98) if len(y) else 0.5
+        share = np.clip(y.mean(), 0.02, 0.98)
         weights = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step, batch = 0, 16
-        for epoch in range(epochs):
-            order = rng.permutation(len(rows))
-            for start in range(0, len(order), batch):
-                sums = {k: np.zeros_like(v) for k, v in self.weights.items()}
-                picked = order[start : start + batch]
-                for i in picked:
-                    for k, g in self.gradients(rows[i], y[i], weights[i]).items():
-                        sums[k] += g / len(picked)
-                step += 1
-                rate = 0.01 * (1 - epoch / epochs)
-                for k, g in sums.items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.99 * second[k] + 0.01 * g * g
-                    move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-                    self.weights[k] = self.weights[k] - (rate * move).astype(np.float32)
+        order = np.zeros(0, np.int64)
+        for step in range(1, steps + 1):
+            if len(order) < BATCH:
+                order = np.concatenate([order, *[rng.permutation(len(rows)) for _ in range(1 + BATCH // len(rows))]])
+            picked, order = order[:BATCH], order[BATCH:]
+            sums = {k: np.zeros_like(v) for k, v in self.weights.items()}
+            for i in picked:
+                for k, g in self.gradients(rows[i], y[i], weights[i]).items():
+                    sums[k] += g / len(picked)
+            rate = 0.01 * (1 - (step - 1) / steps)
+            for k, g in sums.items():
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.99 * second[k] + 0.01 * g * g
+                move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
+                self.weights[k] = self.weights[k] - (rate * move).astype(np.float32)
+        # The weights made both labels equally frequent; the odds of a row are those of all rows.
+        known = float(np.clip(good_share, 0.02, 0.98))
+        self.weights["bias"] = self.weights["bias"] + np.float32(np.log(known / (1 - known)))
+        self.trained = True
         return self
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ByteCnn:
+def train(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES
+) -> ByteCnn:
     """Learn ``quality`` from the labelled rows outside the held-out fold.
 
-    At most ``sample_rows`` rows are learned from: those with the smallest hash of their
-    id, half of them of either label while both last; of a long text, a stretch of
-    ``SAMPLE_CHARS`` code points at a random place, so that what the driver holds is
-    bounded. (Scores always see whole texts.) Rows without a text or a label take no part.
-    Without any labelled row, all scores are a half.
+    Learned from are whole texts of at most ``sample_rows`` rows: those with the smallest
+    hash of their id, half of them of either label while both last, as many as have
+    ``sample_bytes`` bytes together, which bounds what the driver holds. Rows without a
+    text or a label take no part; of rows with one id the smallest text counts. Without
+    rows of both labels nothing can be learned: ``trained`` is false, all scores are a half.
     """
     marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     marked = marked.where(fold(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -142,16 +151,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for q in (0, 1)
     ]
     picked = chosen[0].unionByName(chosen[1])
-    start = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
-    stretch = F.substring(F.col("text"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", stretch)
-    rows = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).collect()
+    texts = docs.where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)).select("doc_id", "text")
+    found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    # at most one row for each of the chosen ids
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rows = found.withColumn("bytes", so_far).where(F.col("bytes") <= sample_bytes).drop("bytes").collect()
     rows.sort(key=lambda r: r["doc_id"])
     model = ByteCnn()
-    if not rows:
+    if len({r["quality"] for r in rows}) < 2:
         model.weights["out"][:] = 0
         return model
-    return model.fit([r["text"] for r in rows], [r["quality"] for r in rows])
+    share = marked.agg(F.avg("quality").alias("share")).first()["share"]
+    return model.fit([r["text"] for r in rows], [r["quality"] for r in rows], share)
 
 
 def scored(docs: DataFrame, model: ByteCnn) -> DataFrame:
@@ -174,5 +185,5 @@ def scored(docs: DataFrame, model: ByteCnn) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Train on ``docs`` and ``labels``, then score all of ``docs``."""
+    """Train on ``docs`` and ``labels`` (see :func:`train`), then score all of ``docs`` (see :func:`scored`)."""
     return scored(docs, train(docs, labels, sample_rows))
