@@ -6,7 +6,17 @@ from pyspark.sql import functions as F
 from vertexloom import runtime
 from vertexloom.operators import clear_edges, split_graph, with_property
 from vertexloom.plans import label_propagation
-from vertexloom.sources import copy_graph, load_graph, read_graph, save_graph, settled, store, write_graph
+from vertexloom.sources import (
+    copy_graph,
+    drop_old_files,
+    load_graph,
+    read_graph,
+    save_graph,
+    settled,
+    store,
+    stored_counts,
+    write_graph,
+)
 
 
 def pairs_of(graph):
@@ -140,3 +150,90 @@ def test_loading_runs_no_job(spark, make_graph, tmp_path):
     before = max(status.getJobIdsForGroup(None), default=-1)
     load_graph(spark, root, "g")
     assert max(status.getJobIdsForGroup(None), default=-1) == before
+
+
+STEPS = ["write_small_text", "path_exists", "rename_path", "delete_path", "file_names", "read_small_text"]
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_a_write_that_breaks_off_anywhere_leaves_the_old_or_the_new_graph(
+    spark, make_graph, tmp_path, monkeypatch, overwrite
+):
+    root = str(tmp_path)
+    save_graph(make_graph([("o", "p")]), root, "g")
+    save_graph(make_graph([("a", "b")]), root, "g")
+    new = [("b", "c")]
+    outcomes, broken, calls = set(), 0, [0]
+    real = {step: getattr(store, step) for step in STEPS}
+    for limit in range(100):
+        before = pairs_of(load_graph(spark, root, "g"))
+
+        def counted(step):
+            def run(*args):
+                calls[0] += 1
+                if calls[0] > limit:  # noqa: B023
+                    raise OSError("lost")
+                return real[step](*args)
+
+            return run
+
+        calls[0] = 0
+        with monkeypatch.context() as patched:
+            for step in STEPS:
+                patched.setattr(store, step, counted(step))
+            try:
+                save_graph(make_graph(new), root, "g", overwrite=overwrite)
+                finished = True
+            except OSError:
+                finished = False
+                broken += 1
+        now = pairs_of(load_graph(spark, root, "g"))
+        assert now in (before, new if overwrite else sorted(before + new))
+        outcomes.add((now == before, finished))
+        assert stored_counts(spark, root, "g").number_of_edges == len(now)
+        if finished:
+            break
+        if now != before:  # the switch was made: start again from another graph
+            save_graph(make_graph([("a", str(limit))]), root, "g")
+    assert finished and broken > 4 and {(True, False), (False, True)} <= outcomes
+
+
+def test_frames_read_before_an_overwrite_can_still_be_read(spark, make_graph, tmp_path):
+    root = str(tmp_path)
+    save_graph(make_graph([("a", "b")]), root, "g")
+    old = load_graph(spark, root, "g")
+    save_graph(make_graph([("c", "d")]), root, "g")
+    assert pairs_of(old) == [("a", "b")] and pairs_of(load_graph(spark, root, "g")) == [("c", "d")]
+    save_graph(make_graph([("e", "f")]), root, "g")
+    save_graph(make_graph([("f", "g")]), root, "g", overwrite=False)
+    path = store.named_path(root, "g")
+    (tmp_path / path.rsplit("/", 1)[1] / "batch-left").mkdir()
+    drop_old_files(spark, path)
+    names = sorted(n.split("-")[0] for n in runtime.file_names(spark, path) if not n.endswith(".crc"))
+    assert names == ["batch", "batch", "manifest"]
+    assert pairs_of(load_graph(spark, root, "g")) == [("e", "f"), ("f", "g")]
+
+
+def test_saving_runs_no_count_job(spark, make_graph, tmp_path, monkeypatch):
+    def never(*_):
+        raise AssertionError("counted by reading")
+
+    monkeypatch.setattr(store, "num_vertices", never)
+    monkeypatch.setattr(store, "num_edges", never)
+    root = str(tmp_path)
+    first = save_graph(make_graph([("a", "b"), ("a", "b")]), root, "g")
+    both = save_graph(make_graph([("b", "c")]), root, "g", overwrite=False)
+    assert (first.number_of_vertices, first.number_of_edges) == (2, 2)
+    assert both == stored_counts(spark, root, "g") and (both.number_of_vertices, both.number_of_edges) == (3, 3)
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_an_append_of_few_vertices_moves_only_them(spark, make_graph, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
+    root = str(tmp_path)
+    save_graph(make_graph([(f"v{i}", f"v{i + 1}") for i in range(50)]), root, "g")
+    there = load_graph(spark, root, "g").vertices
+    fresh = store._not_among(make_graph([("v1", "new")]).vertices, there)
+    assert [r["id"] for r in fresh.collect()] == ["new"]
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (broadcast_rows > 0)

@@ -5,10 +5,12 @@ from vertexloom.sources.schema_file import infer_schema, read_schema, write_sche
 from vertexloom.sources.store import (
     GraphCounts,
     copy_graph,
+    drop_old_files,
     load_graph,
     read_graph,
     save_graph,
     settled,
+    stored_counts,
     write_graph,
 )
 
@@ -16,6 +18,7 @@ __all__ = [
     "ExportResult",
     "GraphCounts",
     "copy_graph",
+    "drop_old_files",
     "file_size",
     "infer_schema",
     "load_graph",
@@ -23,11 +26,12 @@ __all__ = [
     "read_edges_dir",
     "read_graph",
     "read_graphson",
-    "staged_graphson",
     "read_rows_dir",
     "read_schema",
     "save_graph",
     "settled",
+    "staged_graphson",
+    "stored_counts",
     "write_graph",
     "write_graphson",
     "write_schema",
