@@ -1,8 +1,12 @@
 """Secrets and personal data against Python's patterns."""
 
+import random
 import re
 
-from vertexloom.llm.private_data import KINDS, Bootstrap, find_private_data
+import pytest
+from pyspark.sql import functions as F
+
+from vertexloom.llm.private_data import KINDS, Bootstrap, find_private_data, word_before
 from vertexloom.llm.secrets import BASE_RULES, Rule, find_secrets, trigram_query
 
 SECRETS = [
@@ -134,3 +138,24 @@ def test_repeated_rows_count_once(documents):
     ids = [i for i in range(len(texts)) for _ in range(3)]
     got = marked(documents, [t for t in texts for _ in range(3)], ids)
     assert got == sorted((i, [(11, 23)] if i == 8 else []) for i in ids)
+
+
+@pytest.mark.parametrize("word, gap", [("m" * 20, " "), ("m" * 60, " "), ("m" * 61, " "), ("m" * 300, "  "), ("mobile:", " " * 70), ("m" * 63, " " * 200)])
+def test_words_and_gaps_of_any_length(documents, word, gap):
+    seeds = [f"{'x' * (i * 30)} Call {word}{gap}+49 30 12345{i:03d} now." for i in range(8)]
+    start = len("On the other day: ") + len(word) + len(gap)
+    others = [f"On the other day: {word.upper()}{gap}0171-9988-77 works.", f"y{word}{gap}0171-9988-78", f"{word}\n0171-9988-79"]
+    got = dict(marked(documents, [*seeds, *others]))
+    assert [got[8 + i] for i in range(3)] == [[(start, start + 12)], [], []]
+
+
+def test_the_word_before_a_place(spark):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(400):
+        text = "".join(rng.choices(["ab", "X", " ", "  ", "(", "\n", "\u00e9", " " * 40, "w" * 50], k=rng.randint(0, 9)))
+        before = re.search(r"([^\x20\x09-\x0D]+)\x20+[(\[\"']?\Z", text)
+        rows.append((text + "1234", len(text), "".join(c.lower() if "A" <= c <= "Z" else c for c in before[1]) if before else ""))
+    frame = spark.createDataFrame(rows, "text string, start int, word string")
+    got = frame.select("*", word_before(F.col("text"), F.col("start")).alias("got"))
+    assert [r for r in got.collect() if r["got"] != r["word"]] == []

@@ -34,6 +34,7 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IDENTIFIER = r"(?<![A-Za-z0-9#+._@/-])[A-Za-z0-9#+][A-Za-z0-9#+._@/-]*[A-Za-z0-9](?![A-Za-z0-9#+_@/-])"
 DIGITS_OF_IDENTIFIER = 4
+NEAR, BLANK, OPENING = 64, r"[\x20\x09-\x0D]", r"[(\[\"']"
 ENOUGH_DIGITS = r"(?:[0-9][^0-9]*+){%d}" % DIGITS_OF_IDENTIFIER
 
 
@@ -72,9 +73,18 @@ def base_spans(text: Column) -> list[Column]:
 
 
 def word_before(text: Column, start: Column) -> Column:
-    """The lower-case word that ends before a place of the text, on the same line; empty if there is none."""
-    near = F.substring(text, F.greatest(F.lit(1), start - 63), F.least(start, F.lit(64)))
-    return ascii_lower(F.regexp_extract(near, r"([^\x20\x09-\x0D]{1,48})\x20+[(\[\"']?$", 1))
+    """The lower-case word that ends before a place of the text, on the same line; empty if there is none.
+
+    Blanks and one opening mark may stand between. Word and blanks may be of any length:
+    where they fill the ``NEAR`` code points before the place, all of the text before it is
+    looked at.
+    """
+    near = F.substring(text, F.greatest(F.lit(1), start - (NEAR - 1)), F.least(start, F.lit(NEAR)))
+    word = F.regexp_extract(near, rf"(?:^|{BLANK})([^{BLANK[1:]}+)\x20+{OPENING}?\z", 1)
+    cut = (start > NEAR) & near.rlike(rf"^[^{BLANK[1:]}*\x20*{OPENING}?\z")
+    back = F.reverse(F.substring(text, F.lit(1), start))
+    far = F.reverse(F.regexp_extract(back, rf"^{OPENING}?\x20+([^{BLANK[1:]}+)", 1))
+    return ascii_lower(F.when(cut, far).otherwise(word))
 
 
 @dataclass(frozen=True)

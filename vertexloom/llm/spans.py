@@ -35,13 +35,17 @@ def spans_of(text: Column, pattern: str, group: int = 0) -> Column:
 
         return F.aggregate(F.sequence(F.lit(0), F.size(parts["whole"]) - 1), start, step, lambda a: a["found"])
 
-    # What a split leaves between the matches tells where they stand.
-    parts = F.struct(
-        F.split(text, pattern, -1).alias("between"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
-    )
-    return F.when(text.rlike(pattern), let(parts, places)).otherwise(none)
+    def extracted(between: Column) -> Column:
+        whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        if group == 0:
+            parts = let(whole, lambda w: F.struct(between.alias("between"), w.alias("whole"), w.alias("value")))
+        else:
+            value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+            parts = F.struct(between.alias("between"), whole.alias("whole"), value.alias("value"))
+        return F.when(F.size(between) > 1, let(parts, places)).otherwise(none)
+
+    # What a split leaves between the matches tells whether there are any, and where they stand.
+    return let(F.split(text, pattern, -1), extracted)
 
 
 def named(spans: Column, kind: str, rank: int) -> Column:
