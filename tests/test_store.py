@@ -11,11 +11,13 @@ from vertexloom.sources import (
     drop_old_files,
     load_graph,
     read_graph,
+    read_graphson,
     save_graph,
     settled,
     store,
     stored_counts,
     write_graph,
+    write_graphson,
 )
 
 
@@ -237,3 +239,34 @@ def test_an_append_of_few_vertices_moves_only_them(spark, make_graph, tmp_path,
     assert [r["id"] for r in fresh.collect()] == ["new"]
     plan = fresh._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in plan) == (broadcast_rows > 0)
+
+
+@pytest.mark.parametrize("limit", range(5))
+def test_a_replaced_file_that_breaks_off_reads_as_old_or_new(spark, make_graph, tmp_path, monkeypatch, limit):
+    path = str(tmp_path / "g")
+    write_graphson(make_graph([("a", "b")]), path)
+    real, calls = {step: getattr(runtime, step) for step in ("rename_path", "delete_path")}, []
+
+    def counted(step):
+        def run(*args):
+            calls.append(step)
+            if len(calls) > limit:
+                raise OSError("lost")
+            return real[step](*args)
+
+        return run
+
+    with monkeypatch.context() as patched:
+        for step in real:
+            patched.setattr(runtime, step, counted(step))
+        try:
+            write_graphson(make_graph([("c", "d")]), path)
+            finished = True
+        except OSError:
+            finished = False
+    assert finished == (limit >= 3)
+    now = pairs_of(read_graphson(spark, path))
+    assert now == ([("a", "b")] if limit < 2 else [("c", "d")])
+    write_graphson(make_graph([("e", "f")]), path)
+    assert pairs_of(read_graphson(spark, path)) == [("e", "f")]
+    assert not [p.name for p in tmp_path.iterdir() if ".old-" in p.name]

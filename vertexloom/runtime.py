@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ROWS_PER_PARTITION = 2_000_000
 SMALL_ROWS_PER_PARTITION = 50_000
 MAX_PARTITIONS = 40_000
+ASIDE = ".old-"
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
@@ -187,11 +188,34 @@ def refuse_same_path(spark: SparkSession, source: str, target: str) -> None:
 
 
 def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished folder in the place of ``target``; what was there goes once the new one stands."""
-    aside = f"{target.rstrip('/')}.old-{uuid.uuid4().hex}"
+    """Put a finished folder in the place of ``target``; what was there goes once the new one stands.
+
+    Between the two renames nothing stands under the name; :func:`standing` then finds the
+    folder that was there.
+    """
+    before = _aside(spark, target)
+    aside = f"{target.rstrip('/')}{ASIDE}{uuid.uuid4().hex}"
     there = path_exists(spark, target)
     if there:
         rename_path(spark, target, aside)
+        before.append(aside)
     rename_path(spark, staged, target)
-    if there:
-        delete_path(spark, aside)
+    for old in before:
+        delete_path(spark, old)
+
+
+def standing(spark: SparkSession, path: str) -> str:
+    """``path``, or what was there where a replacement broke off before the new folder stood."""
+    if not path_exists(spark, path):
+        old = _aside(spark, path)
+        if old:
+            return old[0]
+    return path
+
+
+def _aside(spark: SparkSession, target: str) -> list[str]:
+    """Folders that a broken-off replacement of ``target`` has put aside."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    if not parent or not path_exists(spark, parent):
+        return []
+    return [f"{parent}/{n}" for n in sorted(file_names(spark, parent)) if n.startswith(f"{name}{ASIDE}")]
