@@ -16,6 +16,7 @@ from vertexloom.llm.jaccard_join import (
     outline,
     parity,
     signatures,
+    wide_parity,
 )
 
 
@@ -112,6 +113,26 @@ def test_parities_never_part_similar_sets():
             a, b = tokens[:n], tokens[shift : n + shift]
             differ = sum((x ^ y).bit_count() for x, y in zip(*[[v % 2**64 for v in parity(t)] for t in (a, b)], strict=True))
             assert differ <= 2 * shift and (differ > 0) == (shift > 0)
+            wide = [wide_parity(t) for t in (a, b)]
+            assert (wide[0] is None) == (n <= 128)
+            if n > 128:
+                differ = sum(((x ^ y) % 2**64).bit_count() for x, y in zip(*wide, strict=True))
+                assert differ <= 2 * shift and 64 * len(wide[0]) >= 4 * n and differ >= 1.5 * min(shift, n // 4)
+
+
+def test_large_sets_of_a_family(documents):
+    """Sets that share most of one long passage, some of them just below the threshold."""
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(700)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.choice([3, 10, 18, 22, 30])):
+            copy[rng.randrange(len(copy))] = f"e{rng.randint(0, 10**9)}"
+        rows.append((i, " ".join(copy), "s"))
+    got = groups(documents(rows)).select("doc_id", "n_shingles", "first.doc_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(plain(rows), key=str)
+    assert len({r[2] for r in plain(rows)}) > 1
 
 
 def test_reach_bounds_what_is_shared():

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.runtime import scratch_path
+from vertexloom.runtime import delete_path, scratch_path
 
 ROWS_PER_BATCH = 512
 SPACES = " \t\n\x0b\x0c\r"
@@ -50,6 +50,12 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`stored` has written and nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what Arrow hands to a Python worker at once, as documents may be very long.
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import content_key, small_batches, stored
+from vertexloom.llm.common import content_key, dropped, small_batches, stored
 
 SHINGLE = 5
 PERCENT = 75
@@ -124,15 +124,21 @@ def may_be_similar(left: bytes, right: bytes, percent: int) -> bool:
     return 100 * common >= percent * (int(a.sum()) + int(b.sum()) - common)
 
 
-def parity(tokens: np.ndarray) -> list[int]:
-    """For each slot, whether an odd number of tokens falls into it: ``PARITIES`` numbers of 64 bits.
+def parity(tokens: np.ndarray, numbers: int = PARITIES) -> list[int]:
+    """For each slot, whether an odd number of tokens falls into it: so many numbers of 64 bits.
 
     Slots in which two sets differ hold a token that only one of them has.
     """
-    odd = np.bincount((tokens >> np.uint64(40) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    odd = np.bincount((tokens >> np.uint64(32) & np.uint64(64 * numbers - 1)).astype(np.int64), minlength=64 * numbers) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_parity(tokens: np.ndarray) -> list[int] | None:
+    """The same with four slots or more to a token, for sets that would crowd the others."""
+    numbers = 1 << max(0, (4 * len(tokens) - 1).bit_length() - 6)
+    return parity(tokens, numbers) if numbers > PARITIES else None
+
+
 def digest(tokens: np.ndarray) -> tuple[int, int]:
     both = blake2b(tokens.tobytes(), digest_size=16).digest()
     return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
@@ -154,6 +160,7 @@ def _reader(size: int):
                 d2=[d for _, d in both],
                 outline=[outline(t) for t in sets],
                 **dict(zip(PARITY, np.array([parity(t) for t in sets], np.int64).reshape(-1, PARITIES).T, strict=True)),
+                wide=[wide_parity(t) for t in sets],
                 slice=-1,
                 counts=None,
             )
@@ -163,6 +170,7 @@ def _reader(size: int):
                 {
                     **{"doc_id": None, "_k1": 0, "_k2": 0, "n": 0, "d1": 0, "d2": 0, "outline": None},
                     **dict.fromkeys(PARITY, 0),
+                    "wide": None,
                     **{"slice": range(SLICES), "counts": parts},
                 }
             )
@@ -317,6 +325,7 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
             "node", "label", F.least("label", "near").alias("new")
         )
         moved = stored(lower, "labels")
+        dropped(labels)
         jump = moved.select(F.col("node").alias("at"), F.col("new").alias("further"))
         labels = stored(
             moved.where("label != new")
@@ -325,7 +334,10 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
             .unionByName(moved.where("label = new").select("node", "label")),
             "labels",
         )
-        if moved.where("label != new").isEmpty():
+        settled = moved.where("label != new").isEmpty()
+        dropped(moved)
+        if settled:
+            dropped(both)
             return labels
 
 
@@ -345,13 +357,13 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     # The id goes through Python as text: pandas would make a column with nulls one of floats.
     texts = docs.select(F.col("doc_id").cast("string"), *content_key(F.col("doc_id"), F.col("text")), "text")
     longs = ", ".join(f"{c} long" for c in ("_k1", "_k2", "n", "d1", "d2"))
-    columns = f"doc_id string, {longs}, outline binary, {', '.join(f'{p} long' for p in PARITY)}, slice int, counts binary"
+    columns = f"doc_id string, {longs}, outline binary, {', '.join(f'{p} long' for p in PARITY)}, wide array<long>, slice int, counts binary"
     read = stored(texts.mapInPandas(_reader(size), columns), "shingle-sets")
     own = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_k1", "_k2")
     per_row = read.where("slice < 0").withColumn("doc_id", F.col("doc_id").cast(id_type))
     sets = per_row.select("doc_id", "_k1", "_k2", "n", "d1", "d2", own.alias("own"))
     by_set = per_row.where("n > 0").withColumn("own", own).groupBy("d1", "d2")
-    classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"), *[F.max(p).alias(p) for p in PARITY])
+    classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"), *[F.max(p).alias(p) for p in [*PARITY, "wide"]])
 
     frequent = frequent_tokens(read)
     pair = "sig long, d1 long, reach long"
@@ -367,6 +379,7 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     )
     met = shared.join(nodes.select("d1", "node", "n", *PARITY), "d1")
     members = stored(met.select("sig", "node", "n", "reach", *PARITY), "members")
+    dropped(shared)
     outlines = nodes.select("node", "outline")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -426,10 +439,13 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         .groupBy("x", "y", "size")
         .agg(F.max_by("sig", "reach").alias("sig"))
     )
-    left = stored(placed.join(open_sigs.select("sig"), "sig"), "open-members")
+    left = stored(placed.join(open_sigs.select("sig"), "sig").join(nodes.select("node", "wide"), "node"), "open-members")
+    differ = F.zip_with("wide", "other_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, x: total + x)
+    near = F.when(F.size("wide") == F.size("other_wide"), apart * (100 + percent) <= both_n * (100 - percent))
     rest = (
-        left.join(left.select("sig", *[F.col(c).alias(other(c)) for c in [*facts, "label"]]), "sig")
-        .where((F.col("label") < F.col("other_label")) & possible)
+        left.join(left.select("sig", *[F.col(c).alias(other(c)) for c in [*facts, "label", "wide"]]), "sig")
+        .where((F.col("label") < F.col("other_label")) & possible & F.coalesce(near, F.lit(True)))
         .select(*pair_of)
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
