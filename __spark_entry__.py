@@ -185,7 +185,7 @@ def edges_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
         F.format_string('%s\n"%s",\n', "c_name", "c_mktsegment").alias("buyer"),
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("seller"),
         F.col("l_extendedprice").alias("price"),
-    ).write.option("header", True).option("escape", '"').csv(path)
+    ).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     edges = read_edges_csv(spark, path, "buyer", "seller", "price", multiline=True)
     return edges.groupBy("src").agg(
         F.count(F.lit(1)).alias("edges"), F.count_distinct("dst").alias("sellers"), F.max("weight").alias("largest")
