@@ -30,7 +30,6 @@ from vertexloom.operators import (  # noqa: E402
     pagerank,
     peer_pressure,
     project_edges,
-    split_graph,
     stars,
     top_vertices,
     value_map,
@@ -54,6 +53,7 @@ from vertexloom.sources import (  # noqa: E402
     write_graph,
     write_graphson,
     write_schema,
+    write_split,
     write_vertices_csv,
     write_vertices_dir,
 )
@@ -453,12 +453,10 @@ def copied_graph(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_and_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """Vertices in two parts with their out-edges, read back as one graph."""
-    graph = graph_of(spark, folder, "trade")
-    parts = split_graph(graph, [F.col("id").startswith("c"), ~F.col("id").startswith("c")])
-    paths = [scratch_path(spark, "part") for _ in parts]
-    for part, path in zip(parts, paths):
-        write_graph(part, path)
+    """Vertices in two parts with their out-edges, written in one pass and read back as one graph."""
+    conditions = [F.col("id").startswith("c"), ~F.col("id").startswith("c")]
+    paths = [scratch_path(spark, "part") for _ in conditions]
+    write_split(graph_of(spark, folder, "trade"), conditions, paths)
     return whole_graph(read_graph(spark, *paths))
 
 

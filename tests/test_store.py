@@ -18,6 +18,7 @@ from vertexloom.sources import (
     stored_counts,
     write_graph,
     write_graphson,
+    write_split,
 )
 
 
@@ -270,3 +271,29 @@ def test_a_replaced_file_that_breaks_off_reads_as_old_or_new(spark, make_graph,
     write_graphson(make_graph([("e", "f")]), path)
     assert pairs_of(read_graphson(spark, path)) == [("e", "f")]
     assert not [p.name for p in tmp_path.iterdir() if ".old-" in p.name]
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_split_in_one_pass(spark, make_graph, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
+    graph = make_graph([("hub", f"v{i % 9}") for i in range(80)] + [("v1", "v2"), ("v2", "v2"), ("w", "hub")])
+    graph = with_property(graph, graph.vertices.select("id", F.length("id").alias("n")), "n")
+    conditions = [F.col("n") > 1, F.col("id").isin("v1", "w", "hub"), F.col("id") == "none", F.lit(None).cast("boolean")]
+    paths = [str(tmp_path / str(i)) for i in range(len(conditions))]
+    write_graph(make_graph([("old", "old")]), paths[1])
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    writes = []
+    kind = type(graph.edges)
+    real = kind.write.fget
+    monkeypatch.setattr(kind, "write", property(lambda frame: writes.append(1) or real(frame)))
+    counts = write_split(graph, conditions, paths)
+    assert len(writes) == 2 + 4  # one per table, and the empty tables of two parts
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    for part, path, count in zip(split_graph(graph, conditions), paths, counts, strict=True):
+        back = read_graph(spark, path)
+        assert back.vertices.columns == graph.vertices.columns and sorted(back.edges.columns) == sorted(graph.edges.columns)
+        assert pairs_of(back) == pairs_of(part) and ids_of(back) == ids_of(part)
+        assert (count.number_of_vertices, count.number_of_edges) == (len(ids_of(part)), len(pairs_of(part)))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["0", "1", "2", "3"]
+    with pytest.raises(ValueError, match="different paths"):
+        write_split(graph, conditions, paths[:1] * 4)

@@ -231,6 +231,15 @@ def split_graph(graph: Graph, conditions: Sequence[Column]) -> list[Graph]:
     return parts
 
 
+def edges_of(edges: DataFrame, values: DataFrame) -> DataFrame:
+    """Edges whose source is in ``values`` (``id``, one more column; ids are distinct), with that column."""
+    column = values.columns[1]
+    if fits_broadcast(values):
+        return attach(edges, "src", F.broadcast(values), column)
+    hot = values.join(F.broadcast(_frequent(edges, ["src"]).select("id")), "id")
+    return attach(edges, "src", values, column, hot)
+
+
 def with_edge_ids(edges: DataFrame, path: str) -> DataFrame:
     """Give each edge row a distinct BIGINT ``edge_id``; an existing one is replaced.
 

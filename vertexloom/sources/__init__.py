@@ -12,6 +12,7 @@ from vertexloom.sources.store import (
     settled,
     stored_counts,
     write_graph,
+    write_split,
 )
 
 __all__ = [
@@ -35,6 +36,7 @@ __all__ = [
     "write_graph",
     "write_graphson",
     "write_schema",
+    "write_split",
     "write_vertices_csv",
     "write_vertices_dir",
 ]
