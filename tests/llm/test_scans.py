@@ -6,8 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from vertexloom.llm.private_data import KINDS, Bootstrap, find_private_data, word_before
+from vertexloom.llm.private_data import IDENTIFIER, KINDS, Bootstrap, find_private_data, word_before
 from vertexloom.llm.secrets import BASE_RULES, Rule, find_secrets, trigram_query
+from vertexloom.llm.spans import spans_of
 
 SECRETS = [
     ("assign", r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 6),
@@ -159,3 +160,16 @@ def test_the_word_before_a_place(spark):
     frame = spark.createDataFrame(rows, "text string, start int, word string")
     got = frame.select("*", word_before(F.col("text"), F.col("start")).alias("got"))
     assert [r for r in got.collect() if r["got"] != r["word"]] == []
+
+
+def test_identifiers_are_those_of_the_pattern_without_looking_ahead(spark):
+    rng = random.Random(6)
+    plain = re.compile(r"(?<![A-Za-z0-9#+._@/-])[A-Za-z0-9#+][A-Za-z0-9#+._@/-]*[A-Za-z0-9](?![A-Za-z0-9#+_@/-])")
+    rows = []
+    for _ in range(500):
+        text = "".join(rng.choices(["a", "Z", "1", "23", "4567", ".", "_", "#", "+", "-", "/", "@", " ", "(", "\n"], k=rng.randint(0, 30)))
+        rows.append((text, [f"{m.start()}:{m.end()}" for m in plain.finditer(text) if sum(c.isdigit() for c in m[0]) >= 4]))
+    found = spark.createDataFrame(rows, "text string, wanted array<string>").select("*", spans_of(F.col("text"), IDENTIFIER).alias("s"))
+    for r in found.collect():
+        assert [f"{s['start']}:{s['end']}" for s in r["s"] if sum(c.isdigit() for c in s["value"]) >= 4] == r["wanted"], r["text"]
+    assert any(wanted for _, wanted in rows)

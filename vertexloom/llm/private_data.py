@@ -32,8 +32,12 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IDENTIFIER = r"(?<![A-Za-z0-9#+._@/-])[A-Za-z0-9#+][A-Za-z0-9#+._@/-]*[A-Za-z0-9](?![A-Za-z0-9#+_@/-])"
 DIGITS_OF_IDENTIFIER = 4
+# Looking ahead for the digits first leaves out the words of a text, none of which could be one.
+IDENTIFIER = (
+    r"(?<![A-Za-z0-9#+._@/-])(?=(?:[A-Za-z#+._@/-]*+[0-9]){%d})" % DIGITS_OF_IDENTIFIER
+    + r"[A-Za-z0-9#+][A-Za-z0-9#+._@/-]*[A-Za-z0-9](?![A-Za-z0-9#+_@/-])"
+)
 NEAR, BLANK, OPENING = 64, r"[\x20\x09-\x0D]", r"[(\[\"']"
 ENOUGH_DIGITS = r"(?:[0-9][^0-9]*+){%d}" % DIGITS_OF_IDENTIFIER
 
