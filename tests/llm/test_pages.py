@@ -1,9 +1,12 @@
 """Page text: blocks, and the labeller on layouts it was not trained on."""
 
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from vertexloom.llm.page_text import Labeller, extract, features, leaves, rewritten
+from vertexloom.llm.page_text import Labeller, extract, features, leaves, main_text, rewritten, tags_say
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p>";</script></head>
 <body><nav><ul><li><a href="/a">Menu one</a></li><li><a href="/b">Menu two</a></li></ul></nav><!-- <p>no</p> -->
@@ -55,3 +58,48 @@ def test_extraction(spark):
     assert texts[1] == article and texts[5] == article and texts[2] == texts[3] == ""
     assert texts[4].count("A & title") == 40 and "Menu" not in texts[4]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "inside, wanted",
+    [
+        ('<p>a</p><svg class="i"/><p>b</p><p>c</p>', "a b c"),
+        ('<p>a</p><svg><title>t</title><text>no</text></svg><p>b</p>', "a b"),
+        ("<p>a</p><svg><path d=''><p>b</p>", "a b"),
+        ('<p>a</p><object data="x">no</object><p>b</p>', "a b"),
+        ("<p>a</p><object data='x'><p>b</p>", "a b"),
+        ("<p>a <svg/> b</p><script>no", "a b"),
+    ],
+)
+def test_elements_without_text_hide_nothing_behind_them(inside, wanted):
+    assert " ".join(b.text for b in leaves(f"<article>{inside}")) == wanted
+
+
+def test_all_words_of_a_class_count():
+    many = " ".join("w" * (i + 1) for i in range(40))
+    assert tags_say(leaves(f'<article><div class="{many} sidebar"><p>x</p></div></article>')[0]) is False
+    deep = "<a href='/'>" + "<b><i><u><em><strong>" * 3 + "linked"
+    assert leaves(f"<p>{deep}</p>")[0].linked == 1.0
+
+
+def test_very_long_pages_are_bounded():
+    labeller = Labeller()
+    short = ["<article><p>one</p><p>two</p></article>"] * 127
+    long = "<article>" + "".join(f"<p>block {i}</p>" for i in range(30_000)) + "</article>"
+    tracemalloc.start()
+    texts = main_text(labeller, [*short, long])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(texts) == 128 and peak < 400e6
+    alone = labeller.scores([features(leaves(long))])[0]
+    assert texts[-1].count("\n") + 1 == int((alone >= 0.5).sum()) or not (alone >= 0.5).any()
+    start = time.monotonic()
+    assert len(leaves("<p>" + "<b>x</b>" * 40_000 + "</p>")) == 1
+    assert time.monotonic() - start < 20
+
+
+def test_stretches_of_a_page_give_the_same_scores(monkeypatch):
+    page = [features(leaves("".join(f"<p>block {i % 7} of {i}</p>" for i in range(100))))]
+    whole = Labeller().scores(page)[0]
+    monkeypatch.setattr("vertexloom.llm.page_text.STEPS_AT_ONCE", 7)
+    assert np.allclose(Labeller().scores(page)[0], whole, atol=1e-6)

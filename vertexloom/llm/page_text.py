@@ -25,7 +25,7 @@ from vertexloom.llm.common import small_batches
 SAMPLE_PAGES, SAMPLE_CHARS, REWRITES = 60, 40_000, 6
 TAG_SLOTS, WORD_SLOTS, DEPTH, HIDDEN, NUMBERS = 1_024, 512, 20, 16, 5
 EPOCHS, TRAIN_BLOCKS = 6, 80
-PAGES_AT_ONCE = 128
+PAGES_AT_ONCE, BLOCKS_AT_ONCE, STEPS_AT_ONCE = 128, 16_384, 2_048
 
 # Fixed values of the language: what starts a block, what has no content, what holds no text.
 BLOCK_TAGS = frozenset(
@@ -78,7 +78,7 @@ def _element(tag: str, attributes: str) -> Element:
         elif name in ("hidden", "aria-hidden"):
             words += ["hidden"] if value.lower() != "false" else []
         else:
-            words += [w.lower() for w in _WORD.findall(value)][:12]
+            words += [w.lower() for w in _WORD.findall(value)]
     return Element(tag, tuple(words), keep)
 
 
@@ -88,26 +88,28 @@ def leaves(page: str | None) -> list[Leaf]:
     stack: list[Element] = []
     found: list[Leaf] = []
     parts: list[str] = []
-    linked = 0
+    linked, spoken = 0, False
     place: tuple[Element, ...] = ()
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, spoken
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             marks = [e.keep for e in place if e.keep is not None]
             found.append(Leaf(text, place, min(1.0, linked / len(text)), marks[-1] == "1" if marks else None))
         parts.clear()
-        linked = 0
+        linked, spoken = 0, False
 
     def say(text: str) -> None:
-        nonlocal place, linked
+        nonlocal place, linked, spoken
         if text:
-            if not parts or not "".join(parts).strip():
+            if not spoken:
                 place = tuple(stack)
+            own = len(text.strip())
+            spoken = spoken or own > 0
             parts.append(text)
-            if any(e.tag == "a" for e in stack[-4:]):
-                linked += len(text.strip())
+            if any(e.tag == "a" for e in stack):
+                linked += own
 
     at = 0
     while at < len(source):
@@ -130,8 +132,12 @@ def leaves(page: str | None) -> list[Leaf]:
                 if tag not in BLOCK_TAGS and stack[i].tag in BLOCK_TAGS:
                     break
         elif tag in TEXTLESS_TAGS:
+            # An element of another language may close itself; one of those that hold
+            # elements and never ends hides nothing behind it.
+            if tag == "svg" and m.group(3).endswith("/"):
+                continue
             close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
-            at = close.end() if close else len(source)
+            at = close.end() if close else at if tag in ("svg", "object") else len(source)
         elif tag == "br":
             say(" ")
         elif tag in VOID_TAGS:
@@ -198,9 +204,12 @@ class Labeller:
         w, steps, pages = self.weights, x.shape[0], x.shape[1]
         h, c = np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32)
         out = np.zeros((steps, pages, HIDDEN), np.float32)
-        into = x @ w[f"{side}x"] + w[f"{side}c"]
+        into, stretch = None, -1
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
-            z = into[t] + h @ w[f"{side}h"]
+            if t // STEPS_AT_ONCE != stretch:
+                stretch = t // STEPS_AT_ONCE
+                into = x[stretch * STEPS_AT_ONCE : (stretch + 1) * STEPS_AT_ONCE] @ w[f"{side}x"] + w[f"{side}c"]
+            z = into[t % STEPS_AT_ONCE] + h @ w[f"{side}h"]
             gates = 1 / (1 + np.exp(-z[:, : 3 * HIDDEN]))
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             g, m = np.tanh(z[:, 3 * HIDDEN :]), mask[t][:, None]
@@ -353,7 +362,11 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
     trained labeller.
     """
     fit = F.col("html").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS) & F.lower("html").rlike("<(article|main)\\b")
-    rows = pages.where(fit).select("html").orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect()
+    # A thin pass picks them by hash, then only those are fetched.
+    able = pages.where(fit).select(F.xxhash64("html").alias("h"), "html")
+    picked = [r["h"] for r in able.select("h").distinct().orderBy("h").limit(sample_pages).collect()]
+    rows = able.where(F.col("h").isin(picked)).groupBy("h").agg(F.min("html").alias("html")).collect() if picked else []
+    rows.sort(key=lambda r: r["h"])
     rng = np.random.default_rng(5)
     parsed = [leaves(r["html"]) for r in rows]
     sentences = [b.text for p in parsed for b in p][:2_000]
@@ -373,8 +386,13 @@ def main_text(labeller: Labeller, pages: list[str | None]) -> list[str]:
     parsed = [leaves(p) for p in pages]
     order = sorted((i for i, p in enumerate(parsed) if p), key=lambda i: len(parsed[i]))
     texts = [""] * len(pages)
-    for start in range(0, len(order), PAGES_AT_ONCE):
-        picked = order[start : start + PAGES_AT_ONCE]
+    start = 0
+    while start < len(order):
+        # Pages of a group are padded to its longest, so a long page goes with few others or alone.
+        stop = start + 1
+        while stop < min(len(order), start + PAGES_AT_ONCE) and (stop + 1 - start) * len(parsed[order[stop]]) <= BLOCKS_AT_ONCE:
+            stop += 1
+        picked, start = order[start:stop], stop
         for i, score in zip(picked, labeller.scores([features(parsed[i]) for i in picked]), strict=True):
             texts[i] = "\n".join(b.text for b, s in zip(parsed[i], score, strict=True) if s >= 0.5)
     return texts
