@@ -114,10 +114,10 @@ def test_parities_never_part_similar_sets():
             differ = sum((x ^ y).bit_count() for x, y in zip(*[[v % 2**64 for v in parity(t)] for t in (a, b)], strict=True))
             assert differ <= 2 * shift and (differ > 0) == (shift > 0)
             wide = [wide_parity(t) for t in (a, b)]
-            assert (wide[0] is None) == (n <= 128)
-            if n > 128:
+            assert (wide[0] is None) == (n <= 256)
+            if n > 256:
                 differ = sum(((x ^ y) % 2**64).bit_count() for x, y in zip(*wide, strict=True))
-                assert differ <= 2 * shift and 64 * len(wide[0]) >= 4 * n and differ >= 1.5 * min(shift, n // 4)
+                assert differ <= 2 * shift and 64 * len(wide[0]) >= 2 * n and differ >= min(shift, n // 4)
 
 
 def test_large_sets_of_a_family(documents):

@@ -24,7 +24,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexloom.llm.common import content_key, dropped, small_batches, stored
@@ -134,8 +134,8 @@ def parity(tokens: np.ndarray, numbers: int = PARITIES) -> list[int]:
 
 
 def wide_parity(tokens: np.ndarray) -> list[int] | None:
-    """The same with four slots or more to a token, for sets that would crowd the others."""
-    numbers = 1 << max(0, (4 * len(tokens) - 1).bit_length() - 6)
+    """The same with two slots or more to a token, for sets that would crowd the others."""
+    numbers = 1 << max(0, (2 * len(tokens) - 1).bit_length() - 6)
     return parity(tokens, numbers) if numbers > PARITIES else None
 
 
@@ -377,8 +377,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     nodes = stored(
         classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
     )
-    met = shared.join(nodes.select("d1", "node", "n", *PARITY), "d1")
-    members = stored(met.select("sig", "node", "n", "reach", *PARITY), "members")
+    met = shared.join(nodes.select("d1", "node", "n"), "d1")
+    members = stored(met.select("sig", "node", "n", "reach"), "members")
     dropped(shared)
     outlines = nodes.select("node", "outline")
 
@@ -398,12 +398,9 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     # At the first signature that two sets share, their reach bounds what they have in
     # common. Later ones may fall short of the bound; the first one of similar sets never does.
     both_n = F.col("n") + F.col("other_n")
-    reached = F.least("reach", "other_reach") * (100 + percent) >= both_n * percent
-    # Slots of odd counts in which two sets differ hold a token that one of them lacks.
-    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY), F.lit(0))
-    possible = reached & (apart * (100 + percent) <= both_n * (100 - percent))
+    possible = F.least("reach", "other_reach") * (100 + percent) >= both_n * percent
     order = F.xxhash64(F.pmod("sig", F.lit(PIVOT_ORDERS)), "node")
-    facts = ["node", "n", "reach", *PARITY]
+    facts = ["node", "n", "reach"]
     smallest = F.min(F.struct("n", order.alias("o"), *[c for c in facts if c != "n"])).alias("low")
     any_one = F.min(F.struct(order.alias("o"), *facts)).alias("any")
     plain = F.floor(F.col("reach") * 1_000 / F.col("n")).alias("part")
@@ -439,13 +436,20 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         .groupBy("x", "y", "size")
         .agg(F.max_by("sig", "reach").alias("sig"))
     )
-    left = stored(placed.join(open_sigs.select("sig"), "sig").join(nodes.select("node", "wide"), "node"), "open-members")
-    differ = F.zip_with("wide", "other_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(differ, F.lit(0), lambda total, x: total + x)
-    near = F.when(F.size("wide") == F.size("other_wide"), apart * (100 + percent) <= both_n * (100 - percent))
+    parities = [*PARITY, "wide"]
+    left = placed.join(open_sigs.select("sig"), "sig").join(nodes.select("node", *parities), "node")
+    left = stored(left, "open-members")
+
+    def few(differ: Column) -> Column:
+        # Slots of odd counts in which two sets differ hold a token that one of them lacks.
+        return differ * (100 + percent) <= both_n * (100 - percent)
+
+    near = few(sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY), F.lit(0)))
+    slots = F.zip_with("wide", "other_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    nearer = F.when(F.size("wide") == F.size("other_wide"), few(F.aggregate(slots, F.lit(0), lambda total, x: total + x)))
     rest = (
-        left.join(left.select("sig", *[F.col(c).alias(other(c)) for c in [*facts, "label", "wide"]]), "sig")
-        .where((F.col("label") < F.col("other_label")) & possible & F.coalesce(near, F.lit(True)))
+        left.join(left.select("sig", *[F.col(c).alias(other(c)) for c in [*facts, "label", *parities]]), "sig")
+        .where((F.col("label") < F.col("other_label")) & possible & near & F.coalesce(nearer, F.lit(True)))
         .select(*pair_of)
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
