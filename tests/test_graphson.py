@@ -203,3 +203,24 @@ def test_property_names_like_columns_or_differing_in_case(spark, tmp_path):
     back = json.loads(spark.read.text(str(tmp_path / "out")).first()["value"])
     assert {k: v[0]["value"] for k, v in back["properties"].items()} == on_vertex
     assert back["outE"]["e"][0]["properties"] == {"src": "s", "Src": "S", "w": "x"}
+
+
+def test_lines_are_compressed(spark, tmp_path, make_graph):
+    graph = make_graph([("a", "b"), ("b", "c")])
+    write_graphson(graph, str(tmp_path / "g"))
+    write_graphson(graph, str(tmp_path / "plain"), compression="none")
+    assert {p.name.endswith(".txt.gz") for p in (tmp_path / "g").glob("part-*")} == {True}
+    assert {p.name.endswith(".txt") for p in (tmp_path / "plain").glob("part-*")} == {True}
+    assert rows_of(spark.read.text(str(tmp_path / "g")), "value") == rows_of(
+        spark.read.text(str(tmp_path / "plain")), "value"
+    )
+
+
+def test_vertices_from_the_edges_written(spark, tmp_path):
+    """With endpoints_only the edges are derived once, so random ones fit their vertices."""
+    draw = F.floor(F.rand() * 1e15).cast("string")
+    edges = spark.range(20).select(draw.alias("src"), F.concat(F.lit("x"), draw).alias("dst"))
+    write_graphson(graph_from_edges(edges, directed=True), str(tmp_path / "g"), endpoints_only=True)
+    back = read_graphson(spark, str(tmp_path / "g"))
+    assert back.vertices.count() == 40
+    assert back.edges.count() == 20
