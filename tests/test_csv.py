@@ -319,3 +319,17 @@ def test_multiline_checks_headers_and_lengths(spark, tmp_path):
         read_edges_csv(spark, str(tmp_path), "src", "dst", multiline=True).collect()
     path = edge_dir(tmp_path, '1,"a\nb",""\n2,,c\n', "n:Integer\np1:String\np2:String\n")
     assert [tuple(r) for r in read_rows_dir(spark, path, multiline=True).orderBy("n").collect()] == [(1, "a\nb", ""), (2, None, "c")]
+
+
+def test_records_are_shuffled_without_their_paths(spark, tmp_path):
+    """Text moves once, by the number of its range; records within a range are put together where they are."""
+    from vertexloom.sources.csv_records import read_records
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0").write_text('a,"b\n""c""\n",d\ne,f,g\n')
+    records = read_records(spark, str(tmp_path / "in"))
+    assert sorted(row["record"] for row in records.collect()) == ['a,"b\n""c""\n",d', "e,f,g"]
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    moved = [line for line in records._jdf.queryExecution().sparkPlan().toString().splitlines() if "Window" in line]
+    assert moved and not any("file#" in line for line in moved if "odd#" in line and "all_odd" not in line)
+    assert "by#" in plan
