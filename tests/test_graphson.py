@@ -1,6 +1,7 @@
 """Graphs as adjacency JSON."""
 
 import json
+import uuid
 from pathlib import Path
 
 import pytest
@@ -218,8 +219,8 @@ def test_lines_are_compressed(spark, tmp_path, make_graph):
 
 def test_vertices_from_the_edges_written(spark, tmp_path):
     """With endpoints_only the edges are derived once, so random ones fit their vertices."""
-    draw = F.floor(F.rand() * 1e15).cast("string")
-    edges = spark.range(20).select(draw.alias("src"), F.concat(F.lit("x"), draw).alias("dst"))
+    draw = F.udf(lambda: uuid.uuid4().hex).asNondeterministic()
+    edges = spark.range(20).select(draw().alias("src"), draw().alias("dst"))
     write_graphson(graph_from_edges(edges, directed=True), str(tmp_path / "g"), endpoints_only=True)
     back = read_graphson(spark, str(tmp_path / "g"))
     assert back.vertices.count() == 40

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.runtime import delete_path, scratch_path
+from vertexloom.runtime import delete_path, stored  # noqa: F401
 
 ROWS_PER_BATCH = 512
 SPACES = " \t\n\x0b\x0c\r"
@@ -43,13 +43,6 @@ def content_key(*columns: Column) -> list[Column]:
     ]
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it from there."""
-    path = scratch_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table that :func:`stored` has written and nothing reads any more."""
     for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vertexloom import runtime
 from vertexloom.graph import Graph, labels_of, property_column
 from vertexloom.operators.lookup import attach
-from vertexloom.runtime import broadcastable_id, fits_broadcast
+from vertexloom.runtime import broadcastable_id, checkpoint, fits_broadcast
 
 
 def project_edges(
@@ -119,9 +119,17 @@ def add_edges(graph: Graph, edges: DataFrame, *, check: bool) -> Graph:
 
 def _between_known(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     # Asking for the distinct endpoints that are missing shuffles one row per
-    # name instead of one per edge, and usually few or none are missing.
-    unknown = endpoints(edges).join(vertices.select("id"), "id", "left_anti")
-    return _without_ends_in(edges, unknown)
+    # name instead of one per edge, and usually few or none are missing, or all at one
+    # end. They are found once, for both ends, and kept: whatever edges and vertices derive
+    # from is not read again for each question about them.
+    each = F.explode(F.array(*[F.struct(F.lit(e).alias("end"), F.col(e).alias("id")) for e in ("src", "dst")]))
+    named = edges.select(each.alias("u")).select("u.end", "u.id").distinct()
+    unknown = checkpoint(named.join(vertices.select("id"), "id", "left_anti"))
+    for end in ("src", "dst"):
+        ids, small = _sized(unknown.where(F.col("end") == end))
+        if small != 0:
+            edges = _by_id(edges, (end,), False, ids, small)
+    return edges
 
 
 def _without_ends_in(edges: DataFrame, ids: DataFrame) -> DataFrame:
