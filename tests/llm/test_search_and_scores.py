@@ -114,3 +114,22 @@ def test_network_sees_the_end_of_a_long_text():
     network = ByteCnn().fit([*clean, *junk], [1] * 40 + [0] * 40, steps=60)
     long = " ".join(clean * 20)
     assert network.score(long) > network.score(long + "### " * 60_000)
+
+
+def test_encoded_texts_stand_by_length(spark):
+    from pyspark.sql import functions as F
+
+    from vertexloom.llm.markov import alphabet, encoded, word_counts
+
+    rows = spark.range(40, numPartitions=2).select(
+        F.col("id").alias("rid"),
+        F.col("id").cast("string").alias("doc_id"),
+        F.lit(False).alias("held_out"),
+        F.array_join(F.array_repeat(F.concat(F.lit("w"), F.col("id").cast("string")), F.pmod(F.hash("id"), F.lit(9))), " ").alias("text"),
+    )
+    texts = encoded(rows, alphabet(word_counts(rows)))
+    by_file: dict = {}
+    for row in texts.select("n_tokens", F.input_file_name().alias("file")).collect():
+        by_file.setdefault(row["file"], []).append(row["n_tokens"])
+    assert sum(map(len, by_file.values())) == 40
+    assert all(lengths == sorted(lengths, reverse=True) for lengths in by_file.values())

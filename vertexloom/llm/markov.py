@@ -113,15 +113,14 @@ def encoded(docs: DataFrame, known: Alphabet) -> DataFrame:
         for batch in batches:
             symbols, lengths, rare_words, rare_counts = [], [], [], []
             for text in batch["text"]:
-                words, rare = words_of(text), Counter()
-                row = np.empty(len(words) + 1, np.uint16)
-                for i, w in enumerate(words):
-                    s = frequent.get(w)
-                    if s is None:
-                        rare[w] += 1
-                        s = first + ending(w)
-                    row[i] = s
-                row[-1] = end
+                words = words_of(text)
+                found = [frequent.get(w, end) for w in words]
+                others = [i for i, s in enumerate(found) if s == end]  # no word is the end of a text
+                rare = Counter([words[i] for i in others])
+                for i in others:
+                    found[i] = first + ending(words[i])
+                found.append(end)
+                row = np.array(found, np.uint16)
                 symbols.append(row.tobytes())
                 lengths.append(len(row))
                 rare_words.append([w.decode("utf-8", "replace") for w in rare])
@@ -134,7 +133,10 @@ def encoded(docs: DataFrame, known: Alphabet) -> DataFrame:
         "rid long, doc_id string, held_out boolean, n_tokens long, symbols binary, "
         "rare_words array<string>, rare_counts array<long>"
     )
-    return stored(docs.mapInPandas(encode, schema), "encoded")
+    # Each step of the recursions goes over all texts of a group at once, so groups of like lengths
+    # take the fewest steps. Sorted once here, the files keep the order for all passes.
+    ordered = docs.mapInPandas(encode, schema).sortWithinPartitions(F.desc("n_tokens"), "rid")
+    return stored(ordered, "encoded")
 
 
 def in_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
