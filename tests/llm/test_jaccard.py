@@ -7,9 +7,11 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from vertexloom.llm import jaccard_join
 from vertexloom.llm.jaccard_join import (
     SKETCH_BITS,
     Shingler,
+    connected,
     groups,
     may_be_similar,
     one_of_each,
@@ -150,3 +152,35 @@ def test_reach_bounds_what_is_shared():
         (s1, r1), (s2, r2) = signatures(one, frequent), signatures(two, frequent)
         shared, i, j = np.intersect1d(s1, s2, return_indices=True)
         assert len(one) == len(two) == common or (len(shared) and np.minimum(r1[i], r2[j]).max() >= common)
+
+
+def test_links_are_gone_through_once_and_rounds_write_once(spark, documents, monkeypatch):
+    tables, calls = [], []
+
+    def stored(df, what, to=jaccard_join.stored):
+        tables.append(what)
+        return to(df, what)
+
+    def counted(*args, f=jaccard_join.connected):
+        calls.append(len(args))
+        return f(*args)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    monkeypatch.setattr(jaccard_join, "connected", counted)
+    base = [f"b{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[i % 3 :], f"x{i}"]), "s") for i in range(6)] + [(9, "of no group at all", "s")]
+    got = groups(documents(rows)).select("doc_id", "n_shingles", "first.doc_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(plain(rows), key=str)
+    assert len(calls) == 1  # no link came late, so nothing is linked again
+
+    rng = random.Random(3)
+    pairs = [(i, i + 1) for i in range(0, 30)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(40)]
+    label = {n: n for pair in pairs for n in pair}
+    while any(label[a] != label[b] for a, b in pairs):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    tables.clear()
+    got = connected(spark.createDataFrame(pairs, "a long, b long"), len(pairs)).collect()
+    assert sorted(map(tuple, got)) == sorted(label.items())
+    # A path of 31 nodes took 1 table of links, 1 of first labels and then 2 a round.
+    assert tables.count("links") == 1 and tables.count("labels") <= 8

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexloom.llm.common import content_key, dropped, small_batches, stored
+from vertexloom.runtime import partitions_for
 
 SHINGLE = 5
 PERCENT = 75
@@ -314,31 +315,31 @@ def _similar(size: int, percent: int):
     return similar
 
 
-def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node`` and ``label``, the smallest node that links reach, by labels that spread and jump."""
-    there = links.select("a", "b")
-    both = stored(there.unionByName(there.toDF("b", "a")), "links")
-    labels = stored(nodes.select("node", F.col("node").alias("label")), "labels")
-    while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels.node == near.a, "left").select(
-            "node", "label", F.least("label", "near").alias("new")
-        )
-        moved = stored(lower, "labels")
-        dropped(labels)
-        jump = moved.select(F.col("node").alias("at"), F.col("new").alias("further"))
-        labels = stored(
-            moved.where("label != new")
-            .join(jump, F.col("new") == F.col("at"), "left")
-            .select("node", F.least("new", "further").alias("label"))
-            .unionByName(moved.where("label = new").select("node", "label")),
-            "labels",
+def connected(links: DataFrame, count: int) -> DataFrame:
+    """``node`` and ``label``, the smallest node that the ``count`` links reach, of all nodes with links.
+
+    Labels spread and jump. A round writes once, into as many files as there are links for.
+    """
+    files = partitions_for(links.sparkSession, 2 * count)
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stored(links.select(F.inline(ends)), "links")
+    nearest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+    first = nearest.select("node", F.least("node", "near").alias("label"), F.lit(True).alias("moved"))
+    labels = stored(first.coalesce(files), "labels")
+    while not labels.where("moved").isEmpty():
+        known = labels.select("node", "label")
+        near = both.join(known, both.b == known.node).groupBy("a").agg(F.min("label").alias("near"))
+        lower = known.join(near, known.node == near.a).select("node", "label", F.least("label", "near").alias("new"))
+        jump = lower.select(F.col("node").alias("at"), F.col("new").alias("further"))
+        further = (
+            lower.join(jump, F.col("new") == F.col("at"))
+            .select("node", F.least("new", "further").alias("to"), "label")
+            .select("node", F.col("to").alias("label"), (F.col("to") < F.col("label")).alias("moved"))
         )
-        settled = moved.where("label != new").isEmpty()
-        dropped(moved)
-        if settled:
-            dropped(both)
-            return labels
+        before, labels = labels, stored(further.coalesce(files), "labels")
+        dropped(before)
+    dropped(both)
+    return labels.select("node", "label")
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -417,7 +418,10 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     pair_of = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
     tried = stored(stars.select(*pair_of).distinct(), "pairs")
     links = linked(tried)
-    label = connected(nodes, links)
+    reached = connected(links, links.count())
+    label = nodes.select("node").join(reached, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    label = stored(label.coalesce(partitions_for(spark, nodes.count())), "labels")
+    dropped(reached)
 
     # Signatures whose sets are not all connected; of those with the same sets the first,
     # which has the largest reach for each of them.
@@ -454,15 +458,21 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    label = connected(nodes, links.unionByName(linked(rest)))
-
+    # What the groups so far are linked by joins them as wholes, so that the first links are
+    # not gone through again.
+    late = linked(rest)
     grouped = nodes.join(label, "node").select("d1", "d2", "first", "label")
+    if count := late.count():
+        ends = [label.toDF(c, f"of_{c}") for c in ("a", "b")]
+        between = late.join(ends[0], "a").join(ends[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        joined = connected(between.coalesce(partitions_for(spark, count)), count).toDF("label", "all")
+        grouped = grouped.join(joined, "label", "left").withColumn("label", F.coalesce("all", "label")).drop("all")
     firsts = grouped.groupBy("label").agg(F.min("first").alias("group_first"))
-    reached = grouped.join(firsts, "label").select("d1", "d2", "group_first")
+    of_groups = grouped.join(firsts, "label").select("d1", "d2", "group_first")
     # Written first, so that the join below has a shuffle on either side, which Spark can
     # split where very many rows have one set.
     found = stored(
-        classes.join(reached, ["d1", "d2"], "left").select(
+        classes.join(of_groups, ["d1", "d2"], "left").select(
             "d1", "d2", F.coalesce("group_first", "first").alias("first")
         ),
         "firsts",
