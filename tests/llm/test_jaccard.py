@@ -2,12 +2,14 @@
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
 
 from vertexloom.llm import jaccard_join
+from vertexloom.llm.common import BATCH_KEY, ROWS_PER_BATCH, SHUFFLE_CLEANUP_KEY
 from vertexloom.llm.jaccard_join import (
     SKETCH_BITS,
     Shingler,
@@ -184,3 +186,36 @@ def test_links_are_gone_through_once_and_rounds_write_once(spark, documents, mon
     assert sorted(map(tuple, got)) == sorted(label.items())
     # A path of 31 nodes took 1 table of links, 1 of first labels and then 2 a round.
     assert tables.count("links") == 1 and tables.count("labels") <= 8
+
+
+def test_rows_of_numbers_go_in_large_batches_and_shuffles_go_with_their_step(spark, documents, monkeypatch):
+    batches = {}
+
+    def stored(df, what, to=jaccard_join.stored):
+        batches[what] = int(spark.conf.get(BATCH_KEY))
+        return to(df, what)
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return set(re.findall(r"shuffle_(\d+)_", blocks.mkString(" ")))
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    cleanup = spark.conf.get(SHUFFLE_CLEANUP_KEY)
+    spark.conf.set(SHUFFLE_CLEANUP_KEY, "false")
+    base = [f"b{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[i % 3 :], f"x{i}"]), "s") for i in range(6)] + [(9, "of no group at all", "s")]
+    try:
+        before = shuffles()
+        found = groups(documents(rows))
+        assert spark.conf.get(SHUFFLE_CLEANUP_KEY) == "false"
+        until = time.time() + 20
+        while (left := shuffles() - before) and time.time() < until:
+            time.sleep(0.2)
+        assert not left
+        got = found.select("doc_id", "n_shingles", "first.doc_id").collect()
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_KEY, cleanup)
+    assert sorted(map(tuple, got), key=str) == sorted(plain(rows), key=str)
+    texts = {"shingle-sets", "likely-pairs", "links", "texts-of-pairs"}
+    assert max(batches[what] for what in texts) <= ROWS_PER_BATCH == int(spark.conf.get(BATCH_KEY))
+    assert batches["shared-signatures"] > 10_000

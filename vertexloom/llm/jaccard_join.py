@@ -27,7 +27,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import content_key, dropped, small_batches, stored
+from vertexloom.llm.common import (
+    BATCH_KEY,
+    SHORT_ROWS_PER_BATCH,
+    SHUFFLE_CLEANUP_KEY,
+    content_key,
+    dropped,
+    setting,
+    small_batches,
+    stored,
+)
 from vertexloom.runtime import partitions_for
 
 SHINGLE = 5
@@ -354,6 +363,14 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     """
     spark = docs.sparkSession
     small_batches(spark)
+    # Every step reads what the steps before have stored, and none runs twice, so what a step
+    # shuffled may go with it.
+    with setting(spark, SHUFFLE_CLEANUP_KEY, "true"):
+        return _groups(docs, size, percent)
+
+
+def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType
     # The id goes through Python as text: pandas would make a column with nulls one of floats.
     texts = docs.select(F.col("doc_id").cast("string"), *content_key(F.col("doc_id"), F.col("text")), "text")
@@ -373,7 +390,9 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     # very many, so those rows are spread and pass.
     salt = F.when(F.col("sig") % 2 == 0, F.lit(0)).otherwise(F.pmod("d1", F.lit(SALTS)))
     ordered = signed.repartition(F.col("sig"), salt).sortWithinPartitions("sig", "d1")
-    shared = stored(ordered.mapInPandas(_shared, pair), "shared-signatures")
+    # Rows of three numbers, very many of them: batches as for whole texts would cost more than the work.
+    with setting(spark, BATCH_KEY, str(SHORT_ROWS_PER_BATCH)):
+        shared = stored(ordered.mapInPandas(_shared, pair), "shared-signatures")
     involved = shared.select("d1").distinct()
     nodes = stored(
         classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
