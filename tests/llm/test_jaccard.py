@@ -219,3 +219,40 @@ def test_rows_of_numbers_go_in_large_batches_and_shuffles_go_with_their_step(spa
     texts = {"shingle-sets", "likely-pairs", "links", "texts-of-pairs"}
     assert max(batches[what] for what in texts) <= ROWS_PER_BATCH == int(spark.conf.get(BATCH_KEY))
     assert batches["shared-signatures"] > 10_000
+
+
+def test_tables_between_have_few_files_under_a_wide_shuffle(spark, documents, monkeypatch):
+    """Files go by rows, as every file costs a task and commands that set its permissions."""
+    files = {}
+
+    def stored(df, what, to=jaccard_join.stored):
+        out = to(df, what)
+        files[what] = max(files.get(what, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rng = random.Random(5)
+    rows = [(None, "", "s"), (-1, "of no group at all", "s")]
+    for i in range(40):
+        base = [f"b{rng.randrange(10**6)}" for _ in range(40)]
+        rows += [(10 * i + j, " ".join([*base[j % 2 :], f"x{i} {j}"]), "s") for j in range(3)]
+    common = [f"c{i}" for i in range(60)]
+    rows += [(1000 + i, " ".join([*common, *[f"e{i} {k}" for k in range(i % 9)]]), "s") for i in range(40)]
+    wide = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wide}
+    try:
+        for key, value in wide.items():
+            spark.conf.set(key, value)
+        found = groups(documents(rows)).select("doc_id", "n_shingles", "first.doc_id")
+        assert found.rdd.getNumPartitions() <= 4
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(plain(rows), key=str)
+        between = set(files) - {"shingle-sets"}  # that has the partitions of the input
+        assert len(between) > 8 and max(files[what] for what in between) <= 4
+        monkeypatch.setattr(jaccard_join, "NUMBERS_PER_FILE", 100)
+        monkeypatch.setattr(jaccard_join, "TEXTS_PER_FILE", 10)
+        got = groups(documents(rows)).select("doc_id", "n_shingles", "first.doc_id").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(plain(rows), key=str)
+        assert min(files["shared-signatures"], files["classes"]) > 8  # more for more rows
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

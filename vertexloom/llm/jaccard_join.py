@@ -15,16 +15,21 @@ compared with a few pivots first, among them the one with the fewest rare tokens
 near copies are nearest; what these comparisons connect needs no further ones, so a large
 group of near copies costs steps in proportion to its size. All pairs that share a
 signature and are not connected by then are compared as well, which leaves no link out.
+
+Tables in between go into as many files as their rows ask for, however many partitions the
+shuffle before them has. A file costs more than its rows if they are few: a task, and in a
+local file system without Hadoop's native code commands that set its permissions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexloom.llm.common import (
@@ -47,6 +52,7 @@ PARITIES = 8
 PIVOT_ORDERS = 3
 SETS_SEEN = 500_000
 SALTS = 1_024
+NUMBERS_PER_FILE, TOKENS_PER_FILE, TEXTS_PER_FILE = 100_000, 1_000_000, 5_000
 
 
 def _numbers(name: str, count: int) -> np.ndarray:
@@ -304,7 +310,8 @@ def _may_be_similar(percent: int):
         found = [may_be_similar(a, b, percent) for a, b in zip(lefts, rights, strict=True)]
         return pd.Series(found, dtype="bool")
 
-    return similar
+    # Else Spark moves the filter below a coalesce, and a task starts it for each partition joined.
+    return similar.asNondeterministic()
 
 
 def _similar(size: int, percent: int):
@@ -321,7 +328,12 @@ def _similar(size: int, percent: int):
                 out.append(100 * common >= percent * (len(tokens) + len(other) - common))
             yield pd.Series(out, dtype="bool")
 
-    return similar
+    return similar.asNondeterministic()
+
+
+def files_for(spark: SparkSession, rows: int, per_file: float) -> int:
+    """Files, and tasks that write them, for ``rows`` rows: as many as can run at once, or more for many rows."""
+    return max(spark.sparkContext.defaultParallelism, ceil(rows / per_file))
 
 
 def connected(links: DataFrame, count: int) -> DataFrame:
@@ -383,6 +395,9 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     by_set = per_row.where("n > 0").withColumn("own", own).groupBy("d1", "d2")
     classes = by_set.agg(F.min("own").alias("first"), F.max("n").alias("n"), F.max("outline").alias("outline"), *[F.max(p).alias(p) for p in [*PARITY, "wide"]])
 
+    all_docs, all_tokens = per_row.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    per_file = min(TEXTS_PER_FILE, TOKENS_PER_FILE * all_docs / max(1, all_tokens)) or 1
+    for_docs = files_for(spark, all_docs, per_file)
     frequent = frequent_tokens(read)
     pair = "sig long, d1 long, reach long"
     signed = texts.select("text").mapInPandas(_signer(size, frequent, percent), pair)
@@ -392,28 +407,32 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ordered = signed.repartition(F.col("sig"), salt).sortWithinPartitions("sig", "d1")
     # Rows of three numbers, very many of them: batches as for whole texts would cost more than the work.
     with setting(spark, BATCH_KEY, str(SHORT_ROWS_PER_BATCH)):
-        shared = stored(ordered.mapInPandas(_shared, pair), "shared-signatures")
+        shared = stored(ordered.coalesce(for_docs).mapInPandas(_shared, pair), "shared-signatures")
+    for_members = files_for(spark, shared.count(), NUMBERS_PER_FILE)
     involved = shared.select("d1").distinct()
-    nodes = stored(
-        classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "classes"
-    )
+    numbered = classes.join(involved, "d1", "left_semi").withColumn("node", F.monotonically_increasing_id())
+    nodes = stored(numbered.coalesce(for_docs), "classes")
     met = shared.join(nodes.select("d1", "node", "n"), "d1")
-    members = stored(met.select("sig", "node", "n", "reach"), "members")
+    members = stored(met.select("sig", "node", "n", "reach").coalesce(for_members), "members")
     dropped(shared)
     outlines = nodes.select("node", "outline")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Of pairs ``a``, ``b`` of nodes, those whose texts are similar."""
+        """Of stored pairs ``a``, ``b`` of nodes, those whose texts are similar."""
+        files = files_for(spark, pairs.count(), per_file)
         met = pairs.join(outlines.toDF("b", "right"), "b").join(outlines.toDF("a", "left"), "a")
-        likely = stored(met.where(_may_be_similar(percent)("left", "right")).select("a", "b"), "likely-pairs")
+        met = met.coalesce(files).where(_may_be_similar(percent)("left", "right")).select("a", "b")
+        likely = stored(met, "likely-pairs")
         of_pairs = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         wanted = nodes.join(of_pairs, "node").select(
             "node", F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2")
         )
         found = texts.join(wanted, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
-        found = stored(found.select("node", "text"), "texts-of-pairs")
+        found = stored(found.select("node", "text").coalesce(for_docs), "texts-of-pairs")
+        files = files_for(spark, likely.count(), per_file)
         met = likely.join(found.toDF("b", "right"), "b").join(found.toDF("a", "left"), "a")
-        return stored(met.where(_similar(size, percent)("left", "right")).select("a", "b"), "links")
+        met = met.coalesce(files).where(_similar(size, percent)("left", "right")).select("a", "b")
+        return stored(met, "links")
 
     # At the first signature that two sets share, their reach bounds what they have in
     # common. Later ones may fall short of the bound; the first one of similar sets never does.
@@ -435,7 +454,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     pivots = pivots.select("sig", *[F.col(f"p.{c}").alias(other(c)) for c in facts])
     stars = members.join(pivots, "sig").where((F.col("node") != F.col("other")) & possible)
     pair_of = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-    tried = stored(stars.select(*pair_of).distinct(), "pairs")
+    tried = stored(stars.select(*pair_of).distinct().coalesce(for_members), "pairs")
     links = linked(tried)
     reached = connected(links, links.count())
     label = nodes.select("node").join(reached, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
@@ -461,7 +480,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
     parities = [*PARITY, "wide"]
     left = placed.join(open_sigs.select("sig"), "sig").join(nodes.select("node", *parities), "node")
-    left = stored(left, "open-members")
+    left = stored(left.coalesce(for_members), "open-members")
 
     def few(differ: Column) -> Column:
         # Slots of odd counts in which two sets differ hold a token that one of them lacks.
@@ -479,7 +498,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
     # What the groups so far are linked by joins them as wholes, so that the first links are
     # not gone through again.
-    late = linked(rest)
+    late = linked(stored(rest.coalesce(for_members), "late-pairs"))
     grouped = nodes.join(label, "node").select("d1", "d2", "first", "label")
     if count := late.count():
         ends = [label.toDF(c, f"of_{c}") for c in ("a", "b")]
@@ -490,15 +509,14 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     of_groups = grouped.join(firsts, "label").select("d1", "d2", "group_first")
     # Written first, so that the join below has a shuffle on either side, which Spark can
     # split where very many rows have one set.
-    found = stored(
-        classes.join(of_groups, ["d1", "d2"], "left").select(
-            "d1", "d2", F.coalesce("group_first", "first").alias("first")
-        ),
-        "firsts",
+    of_sets = classes.join(of_groups, ["d1", "d2"], "left").select(
+        "d1", "d2", F.coalesce("group_first", "first").alias("first")
     )
+    found = stored(of_sets.coalesce(for_docs), "firsts")
     result = ["doc_id", "_k1", "_k2", F.col("n").alias("n_shingles"), "first"]
     with_words = sets.where("n > 0").join(found, ["d1", "d2"]).select(*result)
-    return with_words.unionByName(sets.where("n = 0").withColumn("first", F.col("own")).select(*result))
+    without = sets.where("n = 0").withColumn("first", F.col("own")).select(*result)
+    return with_words.unionByName(without).coalesce(for_docs)
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
