@@ -225,3 +225,41 @@ def test_vertices_from_the_edges_written(spark, tmp_path):
     back = read_graphson(spark, str(tmp_path / "g"))
     assert back.vertices.count() == 40
     assert back.edges.count() == 20
+
+
+def test_an_edge_is_a_row_of_the_staged_table(spark, tmp_path, make_graph):
+    """Parquet is read in batches of thousands of rows, so no row may hold the edges of a line."""
+    write_graphson(make_graph([("a", "b")] * 50 + [("b", "c")] * 30), str(tmp_path / "g"), edges_per_line=20)
+    with staged_graphson(spark, str(tmp_path / "g")) as staged:
+        table = spark.read.parquet(*staged.edges.inputFiles())
+        assert table.count() >= 80
+        assert staged.edges.count() == 80 and staged.vertices.count() == 3
+    back = read_graphson(spark, str(tmp_path / "g"), edge_ids=True)
+    assert back.edges.columns == ["edge_id", "src", "dst", "label", "weight"]
+    assert back.edges.select("edge_id").distinct().count() == 80
+
+
+def test_staged_lines_are_those_of_the_text(spark, tmp_path):
+    """Labels without edges, missing edges and vertices without any give the same rows either way."""
+    edge = {"id": 1, "inV": "b", "properties": {"w": {"@type": "g:Int32", "@value": 3}}}
+    out_edges = [
+        {"e": [], "f": [edge, edge]},
+        {"e": [edge], "f": [], "g": [{"id": 2, "inV": "a", "properties": None}]},
+        {"e": None, "f": [{"id": 3, "inV": "c"}]},
+        {"e": [None]},
+        {"e": []},
+        {},
+        None,
+    ]
+    lines = [{"id": f"v{i}", "label": "v", "outE": outs} for i, outs in enumerate(out_edges)] + [{"id": "b", "label": "v"}]
+    for line in lines[::2]:
+        line["properties"] = {"p": [{"id": 0, "value": line["id"]}]}
+    (tmp_path / "part-0").write_text("\n".join(map(json.dumps, lines)))
+    staged = read_graphson(spark, str(tmp_path), edge_ids=True)
+    given = read_graphson(
+        spark, str(tmp_path), vertex_properties={"p": "string"}, edge_properties={"w": "int"}, edge_ids=True
+    )
+    for one, other in ((staged.vertices, given.vertices), (staged.edges, given.edges)):
+        assert one.dtypes == other.dtypes
+        assert rows_of(one, *one.columns) == rows_of(other, *other.columns)
+    assert staged.vertices.count() == 8 and staged.edges.count() == 6
